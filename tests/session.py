@@ -1,0 +1,24 @@
+"""Local session shared by tests and tools."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import SparkSession
+
+
+def local_session(cpus: str = "8", **extra: str) -> SparkSession:
+    builder = (
+        SparkSession.builder.master(f"local[{cpus}]")
+        .appName("clickloom")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clickloom-scratch-"))
+    )
+    for key, value in extra.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
