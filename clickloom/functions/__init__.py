@@ -1,7 +1,7 @@
 """Column functions: expressions in, expressions out, all JVM-side built-ins."""
 
 from .clock import event_date, event_time, utc_hour, utc_weekday, visit_indicators
-from .naming import age_bucket, label, quoted
+from .naming import age_bucket, label, quoted, sql_text
 from .payload import decode_payload, encode_payload
 from .urls import domain_of, unescape_url
 
@@ -14,6 +14,7 @@ __all__ = [
     "event_time",
     "label",
     "quoted",
+    "sql_text",
     "unescape_url",
     "utc_hour",
     "utc_weekday",

@@ -50,17 +50,17 @@ def in_hours(hour: Column, span: tuple[int, int]) -> Column:
     return (hour >= span[0]) & (hour < span[1])
 
 
-def visit_conditions(hour: Column, weekday: Column) -> dict[str, Column]:
-    """Boolean condition per time feature: 7 weekdays, then 24 hours."""
-    conditions = {f"web_day_{name}": weekday == i for i, name in enumerate(WEEKDAYS)}
-    conditions.update({f"web_hour_{h}": hour == h for h in range(24)})
-    return conditions
+# Time feature by name: which calendar part it looks at and the value it counts.
+TIME_FEATURES = {f"web_day_{name}": ("day", i) for i, name in enumerate(WEEKDAYS)} | {
+    f"web_hour_{h}": ("hour", h) for h in range(24)
+}
 
 
 def visit_indicators(ts_ms: Column) -> list[Column]:
     """0/1 columns of one visit: weekdays, hours, work, evening and a constant 1."""
-    hour, weekday = utc_hour(ts_ms), utc_weekday(ts_ms)
-    conditions = visit_conditions(hour, weekday)
+    hour = utc_hour(ts_ms)
+    parts = {"day": utc_weekday(ts_ms), "hour": hour}
+    conditions = {name: parts[part] == value for name, (part, value) in TIME_FEATURES.items()}
     conditions["web_work_hours"] = in_hours(hour, WORK_HOURS)
     conditions["web_evening_hours"] = in_hours(hour, EVENING_HOURS)
     flags = [

@@ -1,4 +1,8 @@
-"""Names and buckets: column-name normaliser, age categories, quoting."""
+"""Names and buckets: column-name normaliser, age categories, quoting.
+
+Wide tables build their column lists as SQL text (``quoted``, ``sql_text``):
+one call to the JVM for the whole list instead of several per column.
+"""
 
 from __future__ import annotations
 
@@ -27,3 +31,8 @@ def age_bucket(age: Column, max_age: int | None = None) -> Column:
 def quoted(name: str) -> str:
     """Column name that Spark resolves literally, also with dots inside."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

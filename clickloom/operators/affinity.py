@@ -18,11 +18,13 @@ def valid_log_rows(log: DataFrame) -> DataFrame:
 
     ``log.url`` is percent-encoded.  Rows with an empty host are dropped too.
     """
-    decoded = log.where(F.col("uid").isNotNull()).withColumn("url", unescape_url(F.col("url")))
+    # The prefix test is cheap and spares other URLs the decoding.
+    candidates = log.where(F.col("uid").isNotNull() & F.col("url").startswith("http"))
+    # The lenient host pattern itself demands http(s):// and a host.
     return (
-        decoded.where(F.col("url").rlike("^https?://"))
+        candidates.withColumn("url", unescape_url(F.col("url")))
         .withColumn("domain", domain_of(F.col("url"), parser="lenient"))
-        .where(F.col("domain").isNotNull() & (F.col("domain") != ""))
+        .where(F.col("domain") != "")
     )
 
 
@@ -38,18 +40,22 @@ def item_counts(
     flagged = members.withColumn("_member", F.lit(True))
     rows = log.select(uid, item).where(F.col(item).isNotNull())
     if fits_broadcast(members, broadcast_bytes):
-        return (
+        counts = (
             rows.join(F.broadcast(flagged), uid, "left")
             .groupBy(item)
             .agg(F.count("*").alias("cnt_all"), F.count("_member").alias("cnt_auto"))
         )
-    pairs = count_long(rows, uid, item)
-    own = F.when(F.col("_member"), F.col("n")).otherwise(F.lit(0))
-    return (
-        salted_join(pairs, flagged, uid, "left", spread=[item])
-        .groupBy(item)
-        .agg(F.sum("n").alias("cnt_all"), F.sum(own).alias("cnt_auto"))
-    )
+    else:
+        pairs = count_long(rows, uid, item)
+        own = F.when(F.col("_member"), F.col("n")).otherwise(F.lit(0))
+        counts = (
+            salted_join(pairs, flagged, uid, "left", spread=[item])
+            .groupBy(item)
+            .agg(F.sum("n").alias("cnt_all"), F.sum(own).alias("cnt_auto"))
+        )
+    # Always true; it keeps later projections out of the aggregate, so that
+    # every use of the counts plans the same shuffle and Spark runs it once.
+    return counts.where(F.col("cnt_all") > 0)
 
 
 def segment_affinity(

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import (
     EVENING_HOURS,
+    TIME_FEATURES,
     WORK_HOURS,
     in_hours,
     utc_hour,
     utc_weekday,
-    visit_conditions,
 )
 from .lookups import BROADCAST_BYTES, fits_broadcast, salted_join
 
@@ -94,13 +94,15 @@ def time_features(visits: DataFrame, ts: str = "timestamp", uid: str = "uid") ->
     The fractions divide by all visits of the user.
     """
     parts = visits.where(F.col(uid).isNotNull()).select(
-        uid, utc_hour(F.col(ts)).alias("_hour"), utc_weekday(F.col(ts)).alias("_day")
+        uid, utc_hour(F.col(ts)).alias("hour"), utc_weekday(F.col(ts)).alias("day")
     )
-    hour, day = F.col("_hour"), F.col("_day")
-    counts = [F.count_if(c).alias(n) for n, c in visit_conditions(hour, day).items()]
+    counts = [
+        F.expr(f"count_if({part} = {value}) AS {name}")
+        for name, (part, value) in TIME_FEATURES.items()
+    ]
 
     def fraction(span):
-        return F.count_if(in_hours(hour, span)) / F.count("*")
+        return F.count_if(in_hours(F.col("hour"), span)) / F.count("*")
 
     return parts.groupBy(uid).agg(
         *counts,

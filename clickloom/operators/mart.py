@@ -79,7 +79,5 @@ def profile_mart(
     if fill is None:
         return mart
     counts = [c for c in [*shop.columns, *web.columns] if c != "uid"]
-    return mart.select(
-        *people.columns,
-        *[F.coalesce(F.col(quoted(c)), F.lit(fill)).alias(c) for c in counts],
-    )
+    cells = [f"coalesce({quoted(c)}, {fill}) AS {quoted(c)}" for c in counts]
+    return mart.selectExpr(*people.columns, *cells)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.naming import quoted
+from ..functions.naming import quoted, sql_text
 
 
 def count_long(df: DataFrame, row: str, item: str) -> DataFrame:
@@ -50,8 +50,8 @@ def to_wide(
     if not values:
         return counts.select(row).distinct()
     wide = counts.repartition(row).groupBy(row).pivot(item, list(values)).agg(F.sum(n))
-    cells = [F.coalesce(F.col(quoted(v)), F.lit(0)).cast("bigint").alias(v) for v in values]
-    return wide.select(row, *cells)
+    cells = [f"cast(coalesce({quoted(v)}, 0) AS bigint) AS {quoted(v)}" for v in values]
+    return wide.selectExpr(quoted(row), *cells)
 
 
 def count_matrix(
@@ -75,12 +75,17 @@ def to_long(wide: DataFrame, key: str, item: str = "item", n: str = "n") -> Data
     """
     values = [c for c in wide.columns if c != key]
     if not values:
-        return wide.select(
-            key, F.lit(None).cast("string").alias(item), F.lit(0).cast("bigint").alias(n)
+        return wide.selectExpr(
+            quoted(key), f"cast(NULL AS string) AS {item}", f"cast(0 AS bigint) AS {n}"
         )
-    cells = wide.select(key, *[F.col(quoted(c)).cast("bigint").alias(c) for c in values])
-    return cells.unpivot(key, [F.col(quoted(c)) for c in values], item, n).where(
-        (F.col(n) != 0) | (F.col(item) == values[0])
+    # Cells leave the row as an array: a zero cell then costs no output row.
+    names = "array(" + ", ".join(sql_text(c) for c in values) + ")"
+    cells = "array(" + ", ".join(f"cast({quoted(c)} AS bigint)" for c in values) + ")"
+    return (
+        wide.selectExpr(quoted(key), f"{cells} AS _cells")
+        .selectExpr(quoted(key), f"posexplode(_cells) AS (_at, {n})")
+        .where((F.col(n) != 0) | (F.col("_at") == 0))
+        .selectExpr(quoted(key), f"element_at({names}, _at + 1) AS {item}", n)
     )
 
 
@@ -91,9 +96,11 @@ def union_missing(a: DataFrame, b: DataFrame, fill: int = 0) -> DataFrame:
 
     def complete(df: DataFrame) -> DataFrame:
         own = set(df.columns)
-        return df.select(
+        return df.selectExpr(
             *[
-                F.col(quoted(c)) if c in own else F.lit(fill).cast(types[c]).alias(c)
+                quoted(c)
+                if c in own
+                else f"cast({fill} AS {types[c].simpleString()}) AS {quoted(c)}"
                 for c in names
             ]
         )
@@ -110,7 +117,8 @@ def sum_by_key(df: DataFrame, key: str) -> DataFrame:
     ]
     if not numeric:
         return df.select(key).distinct()
-    return df.groupBy(key).agg(*[F.sum(F.col(quoted(c))).alias(c) for c in numeric])
+    sums = df.groupBy(key).sum(*[quoted(c) for c in numeric])
+    return sums.toDF(key, *numeric)
 
 
 def merge_counts(old: DataFrame, new: DataFrame, row: str, item: str, n: str = "n") -> DataFrame:

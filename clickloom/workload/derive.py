@@ -6,8 +6,6 @@ SQL.  Times are taken as UTC whatever the session time zone is.
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,15 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def epoch_ms(ts: Column) -> Column:
-    origin = F.lit(datetime.datetime(1970, 1, 1)).cast("timestamp_ntz")
-    return F.timestamp_diff("MILLISECOND", origin, ts.cast("timestamp_ntz"))
+    """Milliseconds of a zone-less timestamp read as UTC."""
+    elapsed = ts - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    seconds = elapsed.cast("interval second").cast("decimal(20,6)")
+    return F.floor(seconds * 1000).cast("bigint")
 
 
 def weblog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One visit per event: ``event_id, event_type, uid, timestamp, url``."""
     events = table(spark, sf_dir, "events")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    page_count = pages.agg(F.count("*")).scalar()
+    page_count = pages.count()
     return (
         events.withColumn("page_id", F.col("event_id") % page_count)
         .join(pages, "page_id")
