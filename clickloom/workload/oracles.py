@@ -75,7 +75,7 @@ def counts(column: str, names: list[str]) -> str:
     )
 
 
-def affinity(source: str, item: str, ctes: list[str], extra: str = "") -> str:
+def affinity(source: str, item: str, ctes: list[str], columns: str = "r AS relevance") -> str:
     return with_(
         [
             *ctes,
@@ -85,13 +85,16 @@ cnt AS (
   SELECT {item} AS item, count(*) AS d, count(m.c_custkey) AS a
   FROM {source} AS s LEFT JOIN member AS m ON m.c_custkey = s.uid
   GROUP BY 1
+),
+ranked AS (
+  SELECT item, CAST(a AS DOUBLE) * a
+    / (CAST(d AS DOUBLE) * nullif((SELECT CAST(sum(a) AS DOUBLE) FROM cnt), 0)) AS r
+  FROM cnt
 )""",
         ],
         f"""
-        SELECT item AS {item},
-               CAST(a AS DOUBLE) * a / (CAST(d AS DOUBLE) * (SELECT CAST(sum(a) AS DOUBLE) FROM cnt))
-                 AS relevance{extra}
-        FROM cnt ORDER BY relevance DESC, item LIMIT 200""",
+        SELECT item AS {item}, {columns}
+        FROM ranked ORDER BY r DESC, item LIMIT 200""",
     )
 
 
@@ -211,12 +214,16 @@ EVENT_SELECT = with_(SHOP, f" SELECT {SHOP_EVENT} FROM shop")
 ORACLES: dict[str, str] = {
     "affinity_topk": AFFINITY_BRANDS,
     "affinity_large_segment": AFFINITY_BRANDS,
-    "affinity_parts": affinity("lines", "part", [PARTS]),
+    "affinity_parts": affinity(
+        "lines", "part", [PARTS], "CAST(round(r * 1e15) AS BIGINT) AS relevance_e15"
+    ),
     "affinity_domains": affinity("weblog", "domain", [WEBLOG]),
     "valid_log_rows": with_(
         WEBLOG, " SELECT uid, timestamp / 1000 AS ts, url, domain FROM weblog"
     ),
-    "ranked_tsv": affinity("lines", "brand", [BRANDS], ", CAST(20 AS BIGINT) AS digits"),
+    "ranked_tsv": affinity(
+        "lines", "brand", [BRANDS], "r AS relevance, CAST(20 AS BIGINT) AS digits"
+    ),
     "weblog_tsv": with_(WEBLOG, " SELECT uid, timestamp / 1000 AS ts, url FROM weblog"),
     "segment_ids": "SELECT c_custkey AS uid FROM customer WHERE c_mktsegment = 'AUTOMOBILE'",
     "domain_counts": with_(

@@ -87,7 +87,9 @@ def affinity_parts(spark, sf_dir):
     """Many items, so the list is cut at its depth and ties matter."""
     log = derive.part_log(spark, sf_dir)
     ranked = op.segment_affinity(log, derive.market_segment(spark, sf_dir), "part")
-    return ranked.select("part", F.col("relevance").cast("double").alias("relevance"))
+    # Twenty digits are fewer than a double has for scores this small.
+    scaled = F.round(F.col("relevance").cast("double") * 1e15).cast("bigint")
+    return ranked.select("part", scaled.alias("relevance_e15"))
 
 
 def _encoded_log(spark, sf_dir):

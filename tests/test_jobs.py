@@ -1,0 +1,108 @@
+"""The submitted entry points, with files in place of the external systems."""
+
+import json
+import sys
+
+import pytest
+
+from clickloom.jobs import affinity, features, split_events, stream_kpis, users_items
+from clickloom.sources import latest_snapshot
+
+
+@pytest.fixture
+def options(spark):
+    names = []
+
+    def set_all(prefix, **values):
+        for name, value in values.items():
+            spark.conf.set(f"{prefix}.{name}", str(value))
+            names.append(f"{prefix}.{name}")
+
+    yield set_all
+    for name in names:
+        spark.conf.unset(name)
+
+
+def message(i, kind, ts, uid):
+    return json.dumps(
+        {"event_type": kind, "category": "c", "item_id": f"Item {i}", "item_price": i,
+         "uid": uid, "timestamp": ts}
+    )
+
+
+DAY = 86_400_000
+START = 1587340800000
+
+
+def test_conveyor(spark, tmp_path, options):
+    topic = tmp_path / "topic"
+    topic.mkdir()
+    lines = [message(i % 3, ("view", "buy")[i % 2], START + i * DAY, f"u{i % 4}") for i in range(9)]
+    (topic / "0.txt").write_text("\n".join(lines))
+    options(
+        "spark.filter", topic_name="shop", topic_path=topic, output_dir_prefix=tmp_path / "visits"
+    )
+    split_events.main()
+    options(
+        "spark.users_items", input_dir=tmp_path / "visits", output_dir=tmp_path / "users-items"
+    )
+    users_items.main()
+    assert latest_snapshot(spark, str(tmp_path / "users-items")) == "20200428"
+    logs = [
+        {"uid": f"u{i}", "visits": [{"timestamp": START, "url": f"http://d{i}.ru/"}]}
+        for i in range(3)
+    ]
+    (tmp_path / "weblogs.json").write_text("\n".join(json.dumps(v) for v in logs))
+    options(
+        "spark.features",
+        weblogs_path=tmp_path / "weblogs.json",
+        users_items_dir=tmp_path / "users-items",
+        output=tmp_path / "features",
+    )
+    features.main()
+    table = spark.read.parquet(str(tmp_path / "features"))
+    assert {r.uid: r.domain_features for r in table.collect()} == {
+        "u0": [1, 0, 0], "u1": [0, 1, 0], "u2": [0, 0, 1],
+    }
+    assert [c for c in table.columns if c.startswith("buy_")] == [
+        "buy_item_0", "buy_item_1", "buy_item_2",
+    ]
+
+
+def test_affinity_job(spark, tmp_path, options):
+    (tmp_path / "log").write_text("1\t1.0\thttp%3A%2F%2Fa.ru%2F\n2\t1.0\thttp%3A%2F%2Fb.ru%2F\n")
+    (tmp_path / "segment.json").write_text('{"autousers": ["2"]}')
+    options(
+        "spark.affinity",
+        log_path=tmp_path / "log",
+        segment_path=tmp_path / "segment.json",
+        output=tmp_path / "ranked",
+        k=1,
+    )
+    affinity.main()
+    assert [r.value for r in spark.read.text(str(tmp_path / "ranked")).collect()] == [
+        "b.ru\t1.00000000000000000000"
+    ]
+
+
+def test_stream_job(spark, tmp_path, options):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.txt").write_text(message(5, "buy", START, "u"))
+    options(
+        "spark.kpis",
+        topic_in="a",
+        topic_out="b",
+        checkpoint=tmp_path / "checkpoint",
+        path_in=tmp_path / "in",
+        path_out=tmp_path / "out",
+        trigger="available-now",
+    )
+    stream_kpis.main()
+    values = [json.loads(r.value) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert [v["revenue"] for v in values] == [5]
+
+
+def test_jobs_name_missing_options(spark):
+    with pytest.raises(ValueError, match="spark.affinity.log_path"):
+        affinity.main()
+    assert "clickloom.jobs.affinity" in sys.modules

@@ -1,0 +1,167 @@
+import json
+import random
+
+import pytest
+
+from clickloom import schemas
+from clickloom.functions import decode_payload, encode_payload
+from clickloom.operators import latest_kpis, window_kpis
+from clickloom.plans import kpi_messages, stream_kpis
+from clickloom.sources import TopicSpec, read_topic_stream
+from clickloom.streaming import AVAILABLE_NOW, read_updates, stop_streams, write_topic_stream
+
+HOUR = 3_600_000
+START = 1577865600000
+
+
+def event(at, kind="view", price=10, uid="u"):
+    return ("c", kind, "i", price, at, uid)
+
+
+def frame(spark, events):
+    return spark.createDataFrame(events, schemas.EVENT)
+
+
+def as_dict(df):
+    return {r.start_ts: tuple(r)[1:] for r in df.collect()}
+
+
+def test_golden_rows_and_field_order(spark):
+    prices = [80271 - 27 * 2866] + [2866] * 27
+    events = [event(START + i, "buy", p) for i, p in enumerate(prices)]
+    events += [event(START + 100, uid=f"u{i}") for i in range(18)]
+    second = [96379 - 39 * 2409] + [2409] * 39
+    events += [
+        event(START + HOUR + i, "buy", p, None if i >= 32 else "u") for i, p in enumerate(second)
+    ]
+    out = encode_payload(window_kpis(frame(spark, events)), schemas.KPI_COLUMNS)
+    assert sorted(r.value for r in out.collect()) == [
+        '{"start_ts":1577865600,"end_ts":1577869200,"revenue":80271,"visitors":46,'
+        '"purchases":28,"aov":2866.8214285714284}',
+        '{"start_ts":1577869200,"end_ts":1577872800,"revenue":96379,"visitors":32,'
+        '"purchases":40,"aov":2409.475}',
+    ]
+
+
+def test_windows_edges_nulls_and_no_purchases(spark):
+    events = [
+        event(START),
+        event(START + HOUR - 1, uid=None),
+        event(START + HOUR, "buy", 7, "null"),
+        event(START + 3 * HOUR, "buy", 5),
+        event(START + 3 * HOUR, "cart", 99),
+        event(None),
+    ]
+    seconds = START // 1000
+    assert as_dict(window_kpis(frame(spark, events))) == {
+        seconds: (seconds + 3600, 0, 1, 0, None),
+        seconds + 3600: (seconds + 7200, 7, 1, 1, 7.0),
+        seconds + 10800: (seconds + 14400, 5, 2, 1, 5.0),
+    }
+    text = encode_payload(window_kpis(frame(spark, events[:1])), schemas.KPI_COLUMNS).first()
+    assert "aov" not in json.loads(text.value)
+
+
+def test_start_of_the_first_period(spark):
+    first = START + 600_000
+    events = [event(first), event(first + HOUR - 1), event(first + HOUR), event(None)]
+    seconds = first // 1000
+    expected = {
+        seconds: (seconds + 3600, 0, 2, 0, None),
+        seconds + 3600: (seconds + 7200, 0, 1, 0, None),
+    }
+    assert as_dict(window_kpis(frame(spark, events), start="earliest")) == expected
+    assert as_dict(window_kpis(frame(spark, events), start=first)) == expected
+    # 00:10 lies in one half hour, 01:09:59.999 and 01:10 share another.
+    assert len(as_dict(window_kpis(frame(spark, events), "30 minutes"))) == 2
+
+
+def test_latest_revision_wins(spark):
+    rows = [(0, 1, 2, 10, 1, 1, 10.0), (2, 1, 2, 30, 3, 2, 15.0), (1, 5, 6, 7, 1, 0, None)]
+    types = "batch_id bigint, start_ts bigint, end_ts bigint, revenue bigint, visitors bigint,"
+    types += " purchases bigint, aov double"
+    assert as_dict(latest_kpis(spark.createDataFrame(rows, types))) == {
+        1: (2, 30, 3, 2, 15.0),
+        5: (6, 7, 1, 0, None),
+    }
+
+
+def write_batch(path, name, events):
+    keys = schemas.EVENT.fieldNames()
+    path.mkdir(exist_ok=True)
+    (path / name).write_text("\n".join(json.dumps(dict(zip(keys, e))) for e in events))
+
+
+def run(spark, tmp_path, **options):
+    source = TopicSpec("in", "text", {"maxFilesPerTrigger": "1"}, str(tmp_path / "in"))
+    sink = TopicSpec("out", "parquet", path=str(tmp_path / "out"))
+    stream_kpis(
+        spark, source, sink, str(tmp_path / "checkpoint"), trigger=AVAILABLE_NOW, **options
+    ).awaitTermination()
+    return decode_payload(read_updates(spark, sink), schemas.KPI, keep=["batch_id"])
+
+
+def test_stream_equals_batch_and_survives_a_restart(spark, tmp_path):
+    rng = random.Random(5)
+    events = [
+        event(START + rng.randrange(6 * HOUR), rng.choice(["buy", "view", "x"]), rng.randrange(99))
+        for _ in range(300)
+    ]
+    for i in range(3):
+        write_batch(tmp_path / "in", f"{i}.txt", events[i * 75 : (i + 1) * 75])
+    run(spark, tmp_path)
+    # A late file changes windows that were emitted before.
+    write_batch(tmp_path / "in", "3.txt", events[225:])
+    updates = run(spark, tmp_path)
+    assert updates.select("batch_id").distinct().count() >= 4
+    batch = as_dict(window_kpis(frame(spark, events)))
+    assert as_dict(latest_kpis(updates)) == batch
+    assert updates.count() > len(batch)
+
+
+def test_watermark_drops_late_events_only_when_asked(spark, tmp_path):
+    for name, options in (("all", {}), ("bounded", {"watermark": "1 hour"})):
+        base = tmp_path / name
+        base.mkdir()
+        for i, at in enumerate([START, START + 48 * HOUR, START + 96 * HOUR, START + 1]):
+            write_batch(base / "in", f"{i}.txt", [event(at)])
+            updates = run(spark, base, **options)
+        first = as_dict(latest_kpis(updates))[START // 1000]
+        assert first[2] == (2 if name == "all" else 1)
+
+
+def test_kpi_messages_name_the_topic(spark):
+    packed = encode_payload(frame(spark, [event(START, "buy", 3)]), schemas.EVENT.fieldNames())
+    row = kpi_messages(packed, "kpis").first()
+    assert row.topic == "kpis" and json.loads(row.value)["revenue"] == 3
+
+
+def test_a_batch_written_again_replaces_itself(spark, tmp_path):
+    """The sink of one micro-batch is idempotent: a replay adds no rows."""
+    write_batch(tmp_path / "in", "0.txt", [event(START)])
+    source = TopicSpec("in", "text", path=str(tmp_path / "in"))
+    sink = TopicSpec("out", "parquet", path=str(tmp_path / "out"))
+    for checkpoint in ("a", "b"):  # a lost checkpoint starts over at batch 0
+        stream = kpi_messages(read_topic_stream(spark, source), "out")
+        query = write_topic_stream(stream, sink, str(tmp_path / checkpoint), AVAILABLE_NOW)
+        query.awaitTermination()
+    assert read_updates(spark, sink).count() == 1
+
+
+def test_stop_streams(spark, tmp_path):
+    write_batch(tmp_path / "in", "0.txt", [event(START)])
+    source = TopicSpec("in", "text", path=str(tmp_path / "in"))
+    sink = TopicSpec("out", "parquet", path=str(tmp_path / "out"))
+    query = stream_kpis(spark, source, sink, str(tmp_path / "checkpoint"), trigger="1 second")
+    query.processAllAvailable()
+    stopped = stop_streams(spark)
+    assert len(stopped) == 1 and "FileStreamSource" in stopped[0]
+    assert not query.isActive and stop_streams(spark) == []
+
+
+@pytest.mark.parametrize("length", ["1 hour", "2 hours", "15 minutes"])
+def test_windows_partition_the_events(spark, length):
+    rng = random.Random(9)
+    events = [event(START + rng.randrange(50 * HOUR), "buy", 1) for _ in range(200)]
+    kpis = window_kpis(frame(spark, events), length)
+    assert sum(r.purchases for r in kpis.collect()) == 200
