@@ -1,8 +1,10 @@
 """Split a topic by event kind and UTC date.
 
 Options: ``spark.filter.topic_name``, ``.offset``, ``.output_dir_prefix``,
-``.bootstrap_servers``, ``.partitions``.  With ``.topic_path`` (and
-``.topic_format``) the topic is read from files instead of a broker.
+``.bootstrap_servers``, ``.partitions`` (of the topic), ``.min_partitions`` (of
+the read: lets several tasks share one large topic partition), ``.rebalance``
+(1 merges small files by a shuffle, 0 writes as read; default 1).  With
+``.topic_path`` (and ``.topic_format``) files stand in for a broker.
 """
 
 from clickloom.jobs.session import job_session
@@ -21,6 +23,8 @@ def main() -> None:
             "output_dir_prefix": (str, REQUIRED),
             "bootstrap_servers": (str, "localhost:9092"),
             "partitions": (int, 1),
+            "min_partitions": (str, None),
+            "rebalance": (int, 1),
             "topic_path": (str, None),
             "topic_format": (str, "text"),
         },
@@ -28,9 +32,12 @@ def main() -> None:
     if conf["topic_path"]:
         topic = TopicSpec(conf["topic_name"], conf["topic_format"], path=conf["topic_path"])
     else:
-        servers = {"kafka.bootstrap.servers": conf["bootstrap_servers"]}
-        topic = TopicSpec(conf["topic_name"], options=servers, partitions=conf["partitions"])
-    split_events(spark, topic, conf["output_dir_prefix"], conf["offset"])
+        options = {"kafka.bootstrap.servers": conf["bootstrap_servers"]}
+        if conf["min_partitions"]:
+            options["minPartitions"] = conf["min_partitions"]
+        topic = TopicSpec(conf["topic_name"], options=options, partitions=conf["partitions"])
+    output, offset = conf["output_dir_prefix"], conf["offset"]
+    split_events(spark, topic, output, offset, rebalance=conf["rebalance"] == 1)
 
 
 if __name__ == "__main__":

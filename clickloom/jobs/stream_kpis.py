@@ -1,8 +1,9 @@
 """Hourly KPIs from a topic to a topic, until stopped.
 
 Options: ``spark.kpis.topic_in``, ``.topic_out``, ``.checkpoint``,
-``.bootstrap_servers``, ``.window``, ``.trigger``, ``.watermark``.  With
-``.path_in`` and ``.path_out`` files stand in for the topics.
+``.bootstrap_servers``, ``.window``, ``.trigger``, ``.watermark``,
+``.max_offsets`` (per micro-batch; bounds the first one on a full topic).
+With ``.path_in`` and ``.path_out`` files stand in for the topics.
 """
 
 from clickloom.jobs.session import job_session
@@ -23,20 +24,23 @@ def main() -> None:
             "window": (str, "1 hour"),
             "trigger": (str, "5 seconds"),
             "watermark": (str, None),
+            "max_offsets": (str, None),
             "path_in": (str, None),
             "path_out": (str, None),
         },
     )
     servers = {"kafka.bootstrap.servers": conf["bootstrap_servers"]}
 
-    def topic(name: str, path: str | None, file_format: str) -> TopicSpec:
+    rate = {"maxOffsetsPerTrigger": conf["max_offsets"]} if conf["max_offsets"] else {}
+
+    def topic(name: str, path: str | None, file_format: str, **options: str) -> TopicSpec:
         if path is None:
-            return TopicSpec(name, options=servers)
+            return TopicSpec(name, options=servers | options)
         return TopicSpec(name, file_format, path=path)
 
     stream_kpis(
         spark,
-        topic(conf["topic_in"], conf["path_in"], "text"),
+        topic(conf["topic_in"], conf["path_in"], "text", **rate),
         topic(conf["topic_out"], conf["path_out"], "parquet"),
         conf["checkpoint"],
         conf["window"],

@@ -35,10 +35,13 @@ def item_counts(
     uid: str = "uid",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Rows per item: all (``cnt_all``) and those of segment users (``cnt_auto``)."""
+    """Rows per item: all (``cnt_all``) and those of segment users (``cnt_auto``).
+
+    Rows without user or item do not count.
+    """
     members = segment.select(uid).na.drop().distinct()
     flagged = members.withColumn("_member", F.lit(True))
-    rows = log.select(uid, item).where(F.col(item).isNotNull())
+    rows = log.select(uid, item).na.drop()
     if fits_broadcast(members, broadcast_bytes):
         counts = (
             rows.join(F.broadcast(flagged), uid, "left")

@@ -15,7 +15,7 @@ from ..functions.clock import (
     utc_hour,
     utc_weekday,
 )
-from .lookups import BROADCAST_BYTES, fits_broadcast, salted_join
+from .lookups import BROADCAST_BYTES, local_bytes, salted_join
 
 
 def top_items(df: DataFrame, item: str, n: int = 1000) -> DataFrame:
@@ -60,7 +60,7 @@ def count_vector(
     lookup = df.sparkSession.createDataFrame(list(enumerate(vocab)), "idx int, _item string")
     lookup = lookup.withColumnRenamed("_item", item)
     rows = df.where(F.col(row).isNotNull()).select(row, item)
-    if fits_broadcast(lookup, broadcast_bytes):
+    if local_bytes(vocab) <= broadcast_bytes:
         placed = rows.join(F.broadcast(lookup), item, "left")
         cells = placed.groupBy(row, "idx").agg(F.count("*").alias("n"))
     else:

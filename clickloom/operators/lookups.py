@@ -35,6 +35,11 @@ def fits_broadcast(lookup: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return size <= max_bytes
 
 
+def local_bytes(keys: Sequence[str]) -> int:
+    """The same measure for a lookup of an index and a key that is a driver list."""
+    return sum(_ROW_BYTES + 16 + len(key.encode()) for key in keys)
+
+
 def salted_join(
     facts: DataFrame,
     lookup: DataFrame,

@@ -21,13 +21,17 @@ def explode_visits(df: DataFrame) -> DataFrame:
     return df.select("uid", F.inline("visits"))
 
 
+def shop_categories(visits: DataFrame) -> DataFrame:
+    """``(uid, cat)`` of every shop visit of a known user, whatever its kind."""
+    known = visits.where(F.col("uid").isNotNull())
+    return known.select("uid", label("shop_", F.col("category")).alias("cat"))
+
+
 def shop_category_matrix(
     visits: DataFrame, values: Sequence[str] | None = None
 ) -> DataFrame:
     """Visits per user and shop category; every event kind counts."""
-    known = visits.where(F.col("uid").isNotNull())
-    named = known.select("uid", label("shop_", F.col("category")).alias("cat"))
-    return count_matrix(named, "uid", "cat", values)
+    return count_matrix(shop_categories(visits), "uid", "cat", values)
 
 
 def web_category_counts(

@@ -3,6 +3,7 @@
 from .affinity import rank_domains
 from .features import build_features, feature_table, pinned_visits
 from .mart import build_mart
+from .pinning import pinned
 from .settings import REQUIRED, job_conf
 from .split_events import split_events
 from .stream_kpis import kpi_messages, stream_kpis
@@ -15,6 +16,7 @@ __all__ = [
     "feature_table",
     "job_conf",
     "kpi_messages",
+    "pinned",
     "pinned_visits",
     "rank_domains",
     "split_events",

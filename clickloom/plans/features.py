@@ -11,6 +11,7 @@ from ..operators.mart import explode_visits
 from ..sources.files import read_user_visits
 from ..sources.paths import Directory, scratch_dir
 from ..sources.snapshots import read_snapshot
+from .pinning import pinned
 
 TOP_DOMAINS = 1000
 
@@ -23,14 +24,12 @@ def visit_domains(weblogs: DataFrame, strip: str = "anywhere") -> DataFrame:
 
 
 def pinned_visits(weblogs: DataFrame, path: str) -> DataFrame:
-    """``visit_domains`` written as a columnar table and read back.
+    """``visit_domains`` as a pinned table.
 
     Vocabulary, vectors and time features each pass over the visits; this way
-    the nested log is parsed once, and a lost executor costs a re-read only.
+    the nested log is parsed once.
     """
-    spark = weblogs.sparkSession
-    visit_domains(weblogs).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return pinned(visit_domains(weblogs), path)
 
 
 def feature_table(users_items: DataFrame, visits: DataFrame, n: int = TOP_DOMAINS) -> DataFrame:

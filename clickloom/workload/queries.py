@@ -24,8 +24,10 @@ from ..functions import (
 )
 from ..plans import feature_table, kpi_messages, pinned_visits, split_events, stream_kpis
 from ..plans.features import visit_domains
+from ..plans.mart import shop_matrix as pinned_shop_matrix
 from ..plans.users_items import update_users_items
 from ..sinks import SinkSpec, split_by_kind, write_ranked, write_snapshot, write_table
+from ..sinks.split import KINDS
 from ..sources import (
     SourceSpec,
     TopicSpec,
@@ -39,7 +41,6 @@ from ..sources import (
     read_topic_stream,
     read_weblog,
 )
-from ..sinks.split import KINDS
 from ..sources.paths import join, scratch_dir
 from ..streaming import AVAILABLE_NOW, read_updates, write_topic_stream
 from . import derive
@@ -370,8 +371,12 @@ def web_matrix_large_categories(spark, sf_dir):
 
 
 def _mart(spark, sf_dir, **options):
+    visits = derive.shop_events(spark, sf_dir)
     return op.profile_mart(
-        derive.clients(spark, sf_dir), shop_matrix(spark, sf_dir), web_matrix(spark, sf_dir), **options
+        derive.clients(spark, sf_dir),
+        pinned_shop_matrix(visits, scratch_dir(spark)),
+        web_matrix(spark, sf_dir),
+        **options,
     )
 
 

@@ -66,7 +66,7 @@ def test_segment_reader(spark, tmp_path):
 def brute_force(log, segment, k):
     every, own = Counter(), Counter()
     for uid, item in log:
-        if item is not None:
+        if item is not None and uid is not None:
             every[item] += 1
             own[item] += uid in segment
     total = sum(own.values())
@@ -80,7 +80,8 @@ def brute_force(log, segment, k):
 def test_ranking_matches_brute_force_with_a_hot_user(spark, broadcast_bytes):
     rng = random.Random(3)
     log = [(rng.randrange(40), f"i{rng.randrange(30):02d}") for _ in range(1500)]
-    log += [(5, f"i{rng.randrange(30):02d}") for _ in range(900)] + [(5, None)] * 3
+    log += [(5, f"i{rng.randrange(30):02d}") for _ in range(900)] 
+    log += [(5, None)] * 3 + [(None, "i01")] * 50
     segment = set(range(0, 40, 5))
     df = spark.createDataFrame(log, "uid bigint, item string")
     members = spark.createDataFrame([(u,) for u in segment] * 2 + [(None,)], "uid bigint")
