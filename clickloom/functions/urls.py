@@ -18,6 +18,15 @@ def unescape_url(url: Column) -> Column:
     return F.try_url_decode(F.regexp_replace(guarded, r"\+", "%2B"))
 
 
+def lenient_host(url: Column) -> Column:
+    """Host of a decoded http(s) URL; empty when there is none."""
+    return F.regexp_extract(url, LENIENT_HOST, 1)
+
+
+def strip_www(host: Column, strip: str | None) -> Column:
+    return host if strip is None else F.regexp_replace(host, STRIP_PATTERNS[strip], "")
+
+
 def domain_of(
     url: Column,
     encoded: bool = False,
@@ -36,12 +45,9 @@ def domain_of(
     if parser == "strict":
         host = F.try_parse_url(text, F.lit("HOST"))
     elif parser == "lenient":
-        found = F.regexp_extract(text, LENIENT_HOST, 1)
-        host = F.when(found != "", found)
+        host = F.nullif(lenient_host(text), F.lit(""))
     else:
         raise ValueError(f"unknown parser {parser!r}")
     if lower:
         host = F.lower(host)
-    if strip is None:
-        return host
-    return F.regexp_replace(host, STRIP_PATTERNS[strip], "")
+    return strip_www(host, strip)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.urls import domain_of, unescape_url
+from ..functions.urls import lenient_host, strip_www, unescape_url
 from .lookups import BROADCAST_BYTES, fits_broadcast, salted_join
 from .matrix import count_long
 
@@ -20,10 +20,10 @@ def valid_log_rows(log: DataFrame) -> DataFrame:
     """
     # The prefix test is cheap and spares other URLs the decoding.
     candidates = log.where(F.col("uid").isNotNull() & F.col("url").startswith("http"))
-    # The lenient host pattern itself demands http(s):// and a host.
+    # The host pattern itself demands http(s):// and a host.
     return (
         candidates.withColumn("url", unescape_url(F.col("url")))
-        .withColumn("domain", domain_of(F.col("url"), parser="lenient"))
+        .withColumn("domain", strip_www(lenient_host(F.col("url")), "prefix"))
         .where(F.col("domain") != "")
     )
 

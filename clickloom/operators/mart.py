@@ -42,8 +42,11 @@ def web_category_counts(
     hosts = known.select("uid", domain_of(F.col("url")).alias("domain"))
     named = categories.select("domain", label("web_", F.col("category")).alias("cat")).na.drop()
     if fits_broadcast(named, broadcast_bytes):
-        joined = hosts.join(F.broadcast(named), "domain", "inner")
-        return count_long(joined, "uid", "cat")
+        # An inner join would test the host for null below the join and so parse
+        # every URL twice.  Visits without a category form a group of count 0.
+        joined = hosts.join(F.broadcast(named), "domain", "left")
+        counts = joined.groupBy("uid", "cat").agg(F.count("cat").alias("n"))
+        return counts.where(F.col("n") > 0)
     pairs = count_long(hosts, "uid", "domain")
     joined = salted_join(pairs, named, "domain", "inner", spread=["uid"])
     return joined.groupBy("uid", "cat").agg(F.sum("n").alias("n"))
