@@ -50,8 +50,8 @@ def to_wide(
     if not values:
         return counts.select(row).distinct()
     wide = counts.repartition(row).groupBy(row).pivot(item, list(values)).agg(F.sum(n))
-    cells = [f"cast(coalesce({quoted(v)}, 0) AS bigint) AS {quoted(v)}" for v in values]
-    return wide.selectExpr(quoted(row), *cells)
+    names = [quoted(str(v)) for v in values]
+    return wide.selectExpr(quoted(row), *[f"coalesce({v}, 0L) AS {v}" for v in names])
 
 
 def count_matrix(

@@ -1,6 +1,6 @@
 """Compare registered queries with their check SQL at one scale factor.
 
-    python tests/check_oracles.py [--sf DIR] [query ...]
+    python tests/check_oracles.py [--sf DIR] [--zone ZONE] [query ...]
 """
 
 from __future__ import annotations
@@ -63,9 +63,10 @@ def main() -> int:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--zone", default="UTC", help="session time zone")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = local_session()
+    spark = local_session(**{"spark.sql.session.timeZone": args.zone})
     con = connect(args.sf)
     oracles = entry_points.oracle_sql()
     failed = 0

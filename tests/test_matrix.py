@@ -41,6 +41,13 @@ def test_count_matrix_columns_are_sorted_and_absent_is_zero(spark):
     assert as_dicts(wide)["u1"] == {"buy_b.x": 1, "it's": 0, "view_a": 2, "view_summer_1": 0}
 
 
+def test_item_names_may_be_numbers(spark, rows):
+    df = spark.createDataFrame([("u", 7), ("u", 7), ("v", 10)], "uid string, item int")
+    wide = count_matrix(df, "uid", "item")
+    assert wide.columns == ["uid", "7", "10"]
+    assert rows(wide) == [("u", 2, 0), ("v", 0, 1)]
+
+
 def test_rows_without_any_listed_value_stay(spark):
     wide = count_matrix(visits(spark), "uid", "item_id", ["view_a"])
     assert as_dicts(wide) == {"u1": {"view_a": 2}, "u2": {"view_a": 0}, "u3": {"view_a": 0}}

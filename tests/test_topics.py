@@ -1,4 +1,5 @@
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from clickloom.sources import (
     read_split_events,
     read_topic_batch,
 )
+from clickloom.sources.paths import Directory
 from clickloom.sources.topics import starting_offsets
 
 SAMPLE = {
@@ -76,6 +78,27 @@ def test_split_may_rewrite_its_own_input(spark, tmp_path):
     assert read_split_events(spark, out, ("view", "buy")).count() == 3
 
 
+@pytest.mark.parametrize("form", ["file://{0}", "{0}/"])
+def test_output_path_forms(spark, tmp_path, form):
+    out = form.format(tmp_path / "visits")
+    for _ in range(2):
+        split_by_kind(spark.createDataFrame([tuple(SAMPLE.values())], list(SAMPLE)), out)
+    assert sorted(p.name for p in (tmp_path / "visits").iterdir()) == ["buy", "view"]
+    assert read_events_dir(spark, out, "view").count() == 1
+
+
+def test_relative_output_path(spark):
+    """Relative to the working directory of the file system, as Spark reads it."""
+    name = f"relative-{uuid.uuid4().hex}"
+    home = Directory(spark, name)
+    try:
+        split_by_kind(spark.createDataFrame([tuple(SAMPLE.values())], list(SAMPLE)), name)
+        assert sorted(home.children()) == ["buy", "view"]
+        assert read_events_dir(spark, name, "view").count() == 1
+    finally:
+        home.delete()
+
+
 def test_events_dir_keeps_text_dates_and_names_items(spark, tmp_path, rows):
     out = str(tmp_path / "visits")
     split_events(spark, text_topic(tmp_path), out)
