@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.naming import quoted
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 
 # Fixed row overhead assumed for the hash table of a broadcast.
 _ROW_BYTES = 32
@@ -40,20 +39,27 @@ def local_bytes(keys: Sequence[str]) -> int:
     return sum(_ROW_BYTES + 16 + len(key.encode()) for key in keys)
 
 
+def default_salts(spark: SparkSession) -> int:
+    """Parts per key: an eighth of the shuffle partitions, from 8 to 256."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(256, max(8, partitions // 8))
+
+
 def salted_join(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
     how: str,
     spread: Sequence[str],
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` that splits each key of ``facts`` into ``salts`` parts.
 
     The part is a hash of the ``spread`` columns, so it is the same when a lost
     task runs again.  ``lookup`` must be unique by ``key``; it is repeated once
-    per part.
+    per part.  Adaptive execution can still split a part that is too large.
     """
+    salts = salts or default_salts(facts.sparkSession)
     part = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in spread]), F.lit(salts)).cast("int")
     parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return (
