@@ -2,11 +2,12 @@
 
 from .clock import event_date, event_time, utc_hour, utc_weekday, visit_indicators
 from .naming import age_bucket, label, quoted, sql_text
-from .payload import decode_payload, encode_payload
+from .payload import decode_events, decode_payload, encode_payload
 from .urls import domain_of, unescape_url
 
 __all__ = [
     "age_bucket",
+    "decode_events",
     "decode_payload",
     "domain_of",
     "encode_payload",

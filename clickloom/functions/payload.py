@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import EVENT_MESSAGE
 from .naming import quoted
 
 
@@ -20,6 +21,20 @@ def decode_payload(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()
     return df.select(*keep, decoded.alias("v")).select(*keep, "v.*")
 
 
+def decode_events(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Shop event messages; numbers may travel as numbers or as text.
+
+    ``timestamp`` becomes a number, ``item_price`` stays text as the split
+    output writes it.
+    """
+    return number_timestamps(decode_payload(df, EVENT_MESSAGE, keep))
+
+
+def number_timestamps(events: DataFrame) -> DataFrame:
+    """``timestamp`` given as text to a number; null where it is none."""
+    return events.withColumn("timestamp", F.col("timestamp").try_cast("bigint"))
+
+
 def encode_payload(df: DataFrame, columns: Sequence[str], topic: str | None = None) -> DataFrame:
     """Pack ``columns`` into one JSON ``value``; null fields are left out.
 

@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from .. import schemas
-from ..functions.payload import decode_payload
+from ..functions.payload import decode_events
 from ..sinks.split import KINDS, split_by_kind
 from ..sources.topics import EARLIEST, TopicSpec, read_topic_batch
 
@@ -22,4 +21,4 @@ def split_events(
 ) -> None:
     """Decode the topic from ``offset`` on and split it by kind and UTC date."""
     messages = read_topic_batch(spark, topic, offset)
-    split_by_kind(decode_payload(messages, schemas.EVENT_MESSAGE), output, kinds, rebalance)
+    split_by_kind(decode_events(messages), output, kinds, rebalance)

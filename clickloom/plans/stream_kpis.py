@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..functions.payload import decode_payload, encode_payload
+from ..functions.payload import decode_events, encode_payload
 from ..operators.kpis import window_kpis
 from ..sources.topics import TopicSpec, read_topic_stream
 from ..streaming.sinks import write_topic_stream
@@ -20,9 +20,8 @@ def kpi_messages(
     watermark: str | None = None,
 ) -> DataFrame:
     """Event messages to KPI messages; works on batch and stream alike."""
-    events = decode_payload(messages, schemas.EVENT_MESSAGE).withColumn(
-        "item_price", F.col("item_price").try_cast("bigint")
-    )
+    price = F.col("item_price").try_cast("bigint")
+    events = decode_events(messages).withColumn("item_price", price)
     kpis = window_kpis(events, length, watermark=watermark)
     return encode_payload(kpis, schemas.KPI_COLUMNS, topic)
 

@@ -33,14 +33,9 @@ EVENT = T.StructType(
     ]
 )
 
-# Shop event as it travels: producers write the price as a number or as text,
-# and the split output keeps it as text.  Reading it as text takes both.
-EVENT_MESSAGE = T.StructType(
-    [
-        T.StructField(f.name, T.StringType() if f.name == "item_price" else f.dataType)
-        for f in EVENT.fields
-    ]
-)
+# Shop event as it travels: producers write price and time as numbers or as
+# text.  Reading them as text takes both.
+EVENT_MESSAGE = T.StructType([T.StructField(name, T.StringType()) for name in EVENT.names])
 
 SPLIT_EVENT = T.StructType([*EVENT_MESSAGE.fields, T.StructField("date", T.StringType())])
 

@@ -19,11 +19,14 @@ def write_snapshot(
     """
     spark = df.sparkSession
     staged = staging(spark, directory)
-    df.write.parquet(staged.path)
-    if counts is not None:
-        counts.move_to(staged.child(COUNTS))
     target = Directory(spark, snapshot_path(directory, date))
-    staged.replace(target)
+    try:
+        df.write.parquet(staged.path)
+        if counts is not None:
+            counts.move_to(staged.child(COUNTS))
+        staged.replace(target)
+    finally:
+        staged.delete()
     # The files behind this path have changed under any cached listing.
     spark.catalog.refreshByPath(target.path)
     return target.path

@@ -53,11 +53,13 @@ def split_by_kind(
     if rebalance:
         rows = rows.hint("rebalance", F.col("kind"), F.col("p_date"))
     staged = staging(spark, path)
-    rows.write.partitionBy("kind", "p_date").json(staged.path)
-    for kind in kinds:
-        written = staged.child(f"kind={kind}")
-        written.create()
-        target = Directory(spark, join(path, kind))
-        written.replace(target)
-        spark.catalog.refreshByPath(target.path)
-    staged.delete()
+    try:
+        rows.write.partitionBy("kind", "p_date").json(staged.path)
+        for kind in kinds:
+            written = staged.child(f"kind={kind}")
+            written.create()
+            target = Directory(spark, join(path, kind))
+            written.replace(target)
+            spark.catalog.refreshByPath(target.path)
+    finally:
+        staged.delete()

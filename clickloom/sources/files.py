@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.naming import label
+from ..functions.payload import number_timestamps
 from .paths import join
 
 
@@ -42,7 +43,7 @@ def read_split_events(spark: SparkSession, directory: str, kinds: Sequence[str])
     """Whole lines of the split output of several kinds, with their ``p_date``."""
     schema = T.StructType([*schemas.SPLIT_EVENT.fields, T.StructField("p_date", T.StringType())])
     sides = [spark.read.schema(schema).json(join(directory, kind)) for kind in kinds]
-    return reduce(DataFrame.unionByName, sides)
+    return number_timestamps(reduce(DataFrame.unionByName, sides))
 
 
 def read_events_dir(spark: SparkSession, directory: str, kind: str) -> DataFrame:

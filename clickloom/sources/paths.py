@@ -57,12 +57,16 @@ class Directory:
         dies in between has lost nothing.
         """
         aside = Directory(self._spark, _sibling(target.path, f"_old-{uuid.uuid4().hex}"))
-        had_content = target.exists()
-        if had_content:
-            target.move_to(aside)
-        self.move_to(target)
-        if had_content:
-            aside.delete()
+        if not target.exists():
+            self.move_to(target)
+            return
+        target.move_to(aside)
+        try:
+            self.move_to(target)
+        except Exception:
+            aside.move_to(target)
+            raise
+        aside.delete()
 
 
 def _sibling(path: str, name: str) -> str:

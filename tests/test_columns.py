@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import (
     age_bucket,
+    decode_events,
     decode_payload,
     domain_of,
     encode_payload,
@@ -18,7 +19,7 @@ from clickloom.functions import (
     utc_weekday,
     visit_indicators,
 )
-from clickloom.schemas import EVENT, EVENT_MESSAGE
+from clickloom.schemas import EVENT
 
 
 def ms(*parts):
@@ -189,14 +190,20 @@ def test_payload_round_trip_and_broken_json(spark):
         [(1, bytearray(b'{"item_price": "7", "timestamp": 5}')), (2, bytearray(b"{broken"))],
         "offset bigint, value binary",
     )
-    got = {r["offset"]: r for r in decode_payload(raw, EVENT_MESSAGE, keep=["offset"]).collect()}
+    got = {r["offset"]: r for r in decode_events(raw, keep=["offset"]).collect()}
     assert got[1]["item_price"] == "7" and got[1]["timestamp"] == 5
     assert all(v is None for k, v in got[2].asDict().items() if k != "offset")
 
 
-def test_numeric_price_is_read_as_text(spark):
-    raw = spark.createDataFrame([('{"item_price": 2529}',)], "value string")
-    assert decode_payload(raw, EVENT_MESSAGE).first()["item_price"] == "2529"
+def test_numbers_travel_as_numbers_or_text(spark):
+    messages = [
+        ('{"item_price": 2529, "timestamp": 1577865600000}',),
+        ('{"item_price": "2529", "timestamp": "1577865600000"}',),
+        ('{"item_price": null, "timestamp": "never"}',),
+    ]
+    raw = spark.createDataFrame(messages, "value string")
+    got = [(r["item_price"], r["timestamp"]) for r in decode_events(raw).collect()]
+    assert got == [("2529", 1577865600000), ("2529", 1577865600000), (None, None)]
 
 
 def test_sql_text(spark):
