@@ -5,12 +5,14 @@ from __future__ import annotations
 import atexit
 import contextlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Odd multipliers of the two polynomial hashes (bytes of a word, words of a window).
 BYTE_BASE = 0x9E3779B97F4A7C15
@@ -60,6 +62,8 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of the workload; Python workers look for this package where the driver found it."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
@@ -113,12 +117,22 @@ def byte_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return spans(data, starts, ends, _bytes)
 
 
-def grams(words: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the ``k`` words from each position on; the last ``k - 1`` positions have none."""
-    if len(words) < k:
-        return np.zeros(0, np.uint64)
-    at = np.arange(len(words) - k + 1)
-    return spans(words, at, at + k, _words)
+class Grams:
+    """Hashes of runs of words, given the words' own hashes."""
+
+    def __init__(self, words: np.ndarray):
+        self.back = _words.get(len(words) + 1)[1]
+        self.total = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum((words + np.uint64(1)) * _words.ahead[: len(words)], out=self.total[1:])
+
+    def at(self, starts: np.ndarray, k: int) -> np.ndarray:
+        """Hash of the ``k`` words from each start on."""
+        return mix((self.total[starts + k] - self.total[starts]) * self.back[starts] + np.uint64(k))
+
+    def all(self, k: int) -> np.ndarray:
+        """Hash of the ``k`` words from each position on; the last ``k - 1`` positions have none."""
+        n = len(self.total) - k
+        return mix((self.total[k:] - self.total[:n]) * self.back[:n] + np.uint64(k)) if n > 0 else np.zeros(0, np.uint64)
 
 
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -163,10 +177,9 @@ class Words:
         self.hash = byte_spans(data, self.start, self.end)
         self.data = data
 
-    def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all windows of ``k`` words, and which of them lie in one row."""
-        values = grams(self.hash, k)
-        return values, self.row[: len(values)] == self.row[k - 1 :] if len(values) else values.astype(bool)
+    def inside(self, k: int) -> np.ndarray:
+        """Whether the ``k`` words from each position on lie in one row."""
+        return self.row[: len(self.row) - k + 1] == self.row[k - 1 :] if len(self.row) >= k else np.zeros(0, bool)
 
 
 def word_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, Words]]:
@@ -194,3 +207,21 @@ def binaries(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array
     np.cumsum(sizes, out=offsets[1:])
     take = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[take]))])
+
+
+def with_columns(docs: DataFrame, sources: list[str], work: Callable[..., list[pa.Array]], outs: str) -> DataFrame:
+    """``docs`` with the columns of the DDL text ``outs``, which ``work`` makes from ``sources`` batch by batch.
+
+    Columns that already have such a name are replaced; all others stay.
+    """
+    new = T.StructType.fromDDL(outs).fields
+    taken = {f.name.lower() for f in new}
+    stay = [i for i, name in enumerate(docs.columns) if name.lower() not in taken]
+    schema = T.StructType([*(docs.schema.fields[i] for i in stay), *new])
+    at = [docs.columns.index(name) for name in sources]
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in stay), *work(*(batch.column(i) for i in at))], schema.names)
+
+    return docs.mapInArrow(run, schema)

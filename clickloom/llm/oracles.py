@@ -26,4 +26,32 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM owned GROUP BY doc_id
 """
 
-ORACLES = {"op2_exact_dedup": OP2, "op3_line_dedup": OP3}
+OP8 = """
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s : s + least(len(w), 10) - 1], ' ') AS g
+  FROM item, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS r(s)
+  WHERE len(w) > 0
+), size AS (SELECT DISTINCT n FROM win
+), hit AS (
+  SELECT d.doc_id, d.s, d.n, d.g
+  FROM (SELECT doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS g
+        FROM doc, size, unnest(range(1, len(w) - n + 2)) AS r(s)) d
+  WHERE EXISTS (SELECT 1 FROM win WHERE win.n = d.n AND win.g = d.g)
+), places AS (SELECT DISTINCT doc_id, p FROM hit, unnest(range(s, s + n)) AS r(p)
+), counted AS (SELECT doc_id, count(*) AS n_hit FROM places GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, cast(item_id AS VARCHAR) AS i FROM hit JOIN win USING (n, g)) GROUP BY doc_id
+)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES = {"op2_exact_dedup": OP2, "op3_line_dedup": OP3, "op8_decontamination": OP8}

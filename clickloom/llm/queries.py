@@ -6,8 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .contamination import find_passages
 from .exact import exact_copies
 from .lines import drop_repeated_lines
+from .pieces import decode, encode
+from .wordpiece import token_counts
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,4 +27,21 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_line_dedup)}
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    out = decode(encode(docs, same="parity"))
+    # A literal marker is decoded as the space that it stands for.
+    same = F.col("decoded") == F.replace("text", F.lit("▁"), F.lit(" "))
+    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "parity", same.alias("round_trip"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = find_passages(docs, read(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op6_sentencepiece, op8_decontamination)}
