@@ -90,7 +90,7 @@ class Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > self.size:
-            self.size = max(n, 2 * self.size, 1 << 16)
+            self.size = max(n, self.size * 5 // 4, 1 << 16)
             ahead = np.full(self.size, self.base, np.uint64)
             back = np.full(self.size, pow(self.base, -1, 1 << 64), np.uint64)
             ahead[0] = back[0] = 1

@@ -4,9 +4,9 @@ The model file is parsed here (it is a small protobuf message) and rebuilt: its
 normaliser, the metaspace marker, scores (as merge ranks for a BPE model, as
 they are for a unigram model) and byte fallback.  When no piece holds a marker
 after another character, no merge can cross the place before a run of markers,
-so the text is cut there into words first, and each distinct word of a block of
-documents is encoded once (and once by the reference library, where parity is
-asked for); else whole texts are encoded.
+so the text is cut there into words first and each distinct word is encoded
+once for as long as a worker remembers it (and once by the reference library,
+where parity is asked for); else whole texts are encoded.
 """
 
 from __future__ import annotations
@@ -30,10 +30,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A larger model file is refused: it is sent to every executor.
 MODEL_BYTES = 64 << 20
 #: Text taken at once, words and documents given to the library at once, and its threads in a task.
-BATCH_BYTES = 8 << 20
-BATCH_ROWS = 20_000
-DECODE_ROWS = 256
+BATCH_BYTES = 2 << 20
+BATCH_ROWS = 10_000
+DECODE_ROWS = 1000
 THREADS = 2
+#: Distinct words a worker remembers, encoded or decoded; when full it starts anew.
+MEMO_WORDS = 1_000_000
 MARK = "▁"
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -165,17 +167,66 @@ def model_bytes(spark: SparkSession, path: str) -> bytes:
     return bytes(files.select("content").head()[0])
 
 
-_built: dict = {}
+class Memo:
+    """What words (64-bit hashes) were turned into, for as many as ``limit`` at a time."""
+
+    def __init__(self, kind, limit: int):
+        self.kind, self.limit = kind, limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.low, self.size, self.fine = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.data = np.zeros(0, self.kind)
+
+    def get(self, keys: np.ndarray, make) -> np.ndarray:
+        """Places in the table of the sorted, distinct ``keys``; ``make(which)`` gives data, sizes and flags of new ones."""
+        if len(self.keys) + len(keys) > self.limit:
+            self.clear()
+        at = np.searchsorted(self.keys, keys)
+        new = np.flatnonzero(at == len(self.keys)) if not len(self.keys) else np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != keys)
+        if len(new):
+            data, size, fine = make(new)
+            low = len(self.data) + np.cumsum(size) - size
+            self.data = np.concatenate([self.data, data])
+            for name, more in (("low", low), ("size", size), ("fine", fine), ("keys", keys[new])):
+                setattr(self, name, np.insert(getattr(self, name), at[new], more))
+            at = np.searchsorted(self.keys, keys)
+        return at
+
+    def spread(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The data at places ``at`` one after the other, and where each ends (from 0)."""
+        size = self.size[at]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        return self.data[np.arange(ends[-1]) + np.repeat(self.low[at] - ends[:-1], size)], ends
 
 
-def built(content: bytes, threads: int) -> tuple[Model, Tokenizer, Tokenizer]:
-    """The model, and its tokenizers of texts and of words, built once a worker."""
+@dataclass
+class Built:
+    """A model and what a worker keeps for it."""
+
+    model: Model
+    texts: Tokenizer
+    words: Tokenizer
+    ids: Memo
+    bytes: Memo
+    opens: np.ndarray
+    marks: np.ndarray
+
+
+_built: dict[bytes, Built] = {}
+
+
+def built(content: bytes, threads: int) -> Built:
+    """The model's tokenizers of texts and of words, built once a worker."""
     if content not in _built:
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         model = Model.parse(content)
+        opens = np.array([p.startswith(model.space) for p, _, _ in model.pieces])
+        marks = np.array([bool(p) and not p.strip(model.space) for p, _, _ in model.pieces])
         _built.clear()
-        _built[content] = model, build(model), build(model, words=True)
+        _built[content] = Built(model, build(model), build(model, words=True), Memo(np.int32, MEMO_WORDS), Memo(np.uint8, MEMO_WORDS), opens, marks)
     return _built[content]
 
 
@@ -189,6 +240,20 @@ def encode_all(tokenizer: Tokenizer, rows: list[str]) -> tuple[np.ndarray, np.nd
     return np.concatenate(ids), np.concatenate(sizes)
 
 
+def agree(other, rows: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the reference library gives each row these ids."""
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    out = np.ones(len(rows), bool)
+    for i in range(0, len(rows), BATCH_ROWS):
+        found = other.encode(rows[i : i + BATCH_ROWS], num_threads=1)
+        flat = np.fromiter(chain.from_iterable(found), np.int32)
+        length = np.fromiter(map(len, found), np.int64, len(found))
+        own = ids[ends[i] : ends[i + len(found)]]
+        if not np.array_equal(length, sizes[i : i + len(found)]) or not np.array_equal(flat, own):
+            out[i : i + len(found)] = [x == ids[a:b].tolist() for x, a, b in zip(found, ends[i:], ends[i + 1 :])]
+    return out
+
+
 def cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The texts with the dummy prefix put in, where their words start, and each row's first word.
 
@@ -208,26 +273,50 @@ def cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return data, starts, np.searchsorted(starts, offsets)
 
 
-def encode_words(tokenizer: Tokenizer, data: np.ndarray, offsets: np.ndarray, other=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def encode_words(own: Built, data: np.ndarray, offsets: np.ndarray, other=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids, ids per row and whether ``other`` agrees, per row: each distinct word is encoded once."""
     data, starts, first = cut_words(data, offsets)
     ends = np.append(starts[1:], len(data))[: len(starts)]
-    _, index, inverse = np.unique(byte_spans(data, starts, ends), return_index=True, return_inverse=True)
-    rows = binaries(data, starts[index], ends[index]).cast(pa.large_string())
-    ids, sizes = encode_all(tokenizer, pc.replace_substring(rows, " ", MARK).to_pylist())
-    rows = rows.to_pylist() if other else rows
-    low = np.concatenate(([0], np.cumsum(sizes)))
-    agrees = np.ones(len(rows), bool)
-    if other:
-        # The other library puts the prefix in itself and has no word for a lone prefix.
-        for i in range(0, len(rows), BATCH_ROWS):
-            found = other.encode([x[1:] for x in rows[i : i + BATCH_ROWS]], num_threads=1)
-            agrees[i : i + len(found)] = [rows[i + j] == " " or len(x) == sizes[i + j] and x == ids[low[i + j] : low[i + j + 1]].tolist() for j, x in enumerate(found)]
-    counts = sizes[inverse]
-    ends = np.concatenate(([0], np.cumsum(counts)))
-    take = np.arange(ends[-1]) + np.repeat(low[inverse] - ends[:-1], counts)
-    wrong = np.concatenate(([0], np.cumsum(~agrees[inverse])))
-    return ids[take], np.diff(ends[first]), np.diff(wrong[first]) == 0
+    keys, index, inverse = np.unique(byte_spans(data, starts, ends), return_index=True, return_inverse=True)
+
+    def make(new):
+        words = binaries(data, starts[index[new]], ends[index[new]]).cast(pa.large_string())
+        ids, sizes = encode_all(own.words, pc.replace_substring(words, " ", MARK).to_pylist())
+        fine = np.ones(len(new), bool)
+        if other:
+            # The other library puts the prefix in itself, and has no ids for a lone prefix.
+            alone = [x[1:] for x in words.to_pylist()]
+            fine = agree(other, alone, ids, sizes) | np.array([not x for x in alone])
+        return ids, sizes, fine
+
+    at = own.ids.get(keys, make)[inverse]
+    ids, ends = own.ids.spread(at)
+    wrong = np.concatenate(([0], np.cumsum(~own.ids.fine[at])))
+    return ids, np.diff(ends[first]), np.diff(wrong[first]) == 0
+
+
+def decode_words(own: Built, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The texts of rows of ids: each distinct word, from marker to marker, is decoded once."""
+    cut = own.opens[ids]
+    cut[1:] &= ~own.marks[ids[:-1]]
+    cut[offsets[:-1][np.diff(offsets) > 0]] = True
+    starts = np.flatnonzero(cut)
+    ends = np.append(starts[1:], len(ids))[: len(starts)]
+    keys, index, inverse = np.unique(byte_spans(ids, starts, ends), return_index=True, return_inverse=True)
+
+    def make(new):
+        # With one more word in front, the library leaves the word's own marker alone.
+        ahead = own.words.encode(f"{MARK}a").ids
+        rows = [ahead + ids[starts[i] : ends[i]].tolist() for i in index[new]]
+        words = [x[1:].encode() for i in range(0, len(rows), BATCH_ROWS) for x in own.texts.decode_batch(rows[i : i + BATCH_ROWS], skip_special_tokens=False)]
+        return np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words)), np.ones(len(words), bool)
+
+    at = own.bytes.get(keys, make)[inverse]
+    data, ends = own.bytes.spread(at)
+    bounds = ends[np.searchsorted(starts, offsets)]
+    # The dummy prefix goes.
+    first = (bounds[:-1] < bounds[1:]) & (data[np.minimum(bounds[:-1], max(0, len(data) - 1))] == 32) if len(data) else np.zeros(len(bounds) - 1, bool)
+    return binaries(data, bounds[:-1] + first, bounds[1:]).cast(pa.large_string())
 
 
 def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out: str = "token_ids", same: str | None = None, threads: int = THREADS) -> DataFrame:
@@ -244,24 +333,22 @@ def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out: str
     def work(column):
         import sentencepiece
 
-        model, whole, bare = built(content, threads)
+        own = built(content, threads)
         other = sentencepiece.SentencePieceProcessor(model_proto=content) if same else None
         data, offsets = texts(column)
-        ids, sizes, agree = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], [np.zeros(0, bool)]
+        ids, sizes, fine = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], [np.zeros(0, bool)]
         for low, high in blocks(offsets, BATCH_BYTES):
             at = offsets[low : high + 1]
-            if model.by_word:
-                found = encode_words(bare, data[at[0] : at[-1]], at - at[0], other)
+            if own.model.by_word:
+                found = encode_words(own, data[at[0] : at[-1]], at - at[0], other)
             else:
                 rows = [x or "" for x in column[low:high].to_pylist()]
-                found = *encode_all(whole, rows), np.ones(len(rows), bool)
-                if other:
-                    ends = np.concatenate(([0], np.cumsum(found[1])))
-                    found[2][:] = [x == found[0][i:j].tolist() for x, i, j in zip(other.encode(rows), ends, ends[1:])]
-            for kept, new in zip((ids, sizes, agree), found, strict=True):
+                found = encode_all(own.texts, rows)
+                found = *found, agree(other, rows, *found) if other else np.ones(len(rows), bool)
+            for kept, new in zip((ids, sizes, fine), found, strict=True):
                 kept.append(new)
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), pa.array(np.concatenate(ids)))
-        return [lists, pa.array(np.concatenate(agree))] if same else [lists]
+        return [lists, pa.array(np.concatenate(fine))] if same else [lists]
 
     return with_columns(docs, [text_col], work, f"`{out}` array<int>" + (f", `{same}` boolean" if same else ""))
 
@@ -271,10 +358,15 @@ def decode(docs: DataFrame, path: str = MODEL, ids_col: str = "token_ids", out:
     content = model_bytes(docs.sparkSession, path)
 
     def work(column):
-        _, whole, _ = built(content, threads)
+        own = built(content, threads)
         rows = []
         for i in range(0, len(column), DECODE_ROWS):
-            rows += whole.decode_batch([x or [] for x in column[i : i + DECODE_ROWS].to_pylist()], skip_special_tokens=False)
-        return [pa.array(rows, pa.string())]
+            part = column[i : i + DECODE_ROWS]
+            if own.model.by_word:
+                sizes = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
+                rows.append(decode_words(own, part.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate(([0], np.cumsum(sizes)))))
+            else:
+                rows.append(pa.array(own.texts.decode_batch([x or [] for x in part.to_pylist()], skip_special_tokens=False), pa.large_string()))
+        return [pa.concat_arrays(rows).cast(pa.string()) if rows else pa.array([], pa.string())]
 
     return with_columns(docs, [ids_col], work, f"`{out}` string")
