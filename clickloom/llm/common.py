@@ -67,11 +67,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def held_out(doc_id) -> F.Column:
-    """Whether a row belongs to the fold that no model learns from."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly (a bijection)."""
     h = h ^ (h >> np.uint64(33))
