@@ -30,12 +30,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A larger model file is refused: it is sent to every executor.
 MODEL_BYTES = 64 << 20
 #: Text taken at once, words and documents given to the library at once, and its threads in a task.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 BATCH_ROWS = 10_000
 DECODE_ROWS = 1000
 THREADS = 2
 #: Distinct words a worker remembers, encoded or decoded; when full it starts anew.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 1_500_000
 MARK = "▁"
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -176,7 +176,7 @@ class Memo:
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.low, self.size, self.fine = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.low, self.size, self.fine = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros((0, 2), bool)
         self.data = np.zeros(0, self.kind)
 
     def get(self, keys: np.ndarray, make) -> np.ndarray:
@@ -190,14 +190,14 @@ class Memo:
             low = len(self.data) + np.cumsum(size) - size
             self.data = np.concatenate([self.data, data])
             for name, more in (("low", low), ("size", size), ("fine", fine), ("keys", keys[new])):
-                setattr(self, name, np.insert(getattr(self, name), at[new], more))
+                setattr(self, name, np.insert(getattr(self, name), at[new], more, axis=0))
             at = np.searchsorted(self.keys, keys)
         return at
 
     def spread(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The data at places ``at`` one after the other, and where each ends (from 0)."""
         size = self.size[at]
-        ends = np.concatenate(([0], np.cumsum(size)))
+        ends = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
         return self.data[np.arange(ends[-1]) + np.repeat(self.low[at] - ends[:-1], size)], ends
 
 
@@ -273,8 +273,19 @@ def cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return data, starts, np.searchsorted(starts, offsets)
 
 
+def back_to_text(own: Built, rows: list[list[int]]) -> list[str]:
+    """The texts of words given as ids."""
+    # With a word in front, the library leaves each word's own marker alone.
+    ahead = own.words.encode(f"{MARK}a").ids
+    rows = [ahead + x for x in rows]
+    return [x[1:] for i in range(0, len(rows), BATCH_ROWS) for x in own.texts.decode_batch(rows[i : i + BATCH_ROWS], skip_special_tokens=False)]
+
+
 def encode_words(own: Built, data: np.ndarray, offsets: np.ndarray, other=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, ids per row and whether ``other`` agrees, per row: each distinct word is encoded once."""
+    """Ids, ids per row, and per row whether ``other`` agrees and whether they decode to the text.
+
+    Each distinct word is encoded and checked once; without ``other`` nothing is checked.
+    """
     data, starts, first = cut_words(data, offsets)
     ends = np.append(starts[1:], len(data))[: len(starts)]
     keys, index, inverse = np.unique(byte_spans(data, starts, ends), return_index=True, return_inverse=True)
@@ -282,17 +293,22 @@ def encode_words(own: Built, data: np.ndarray, offsets: np.ndarray, other=None)
     def make(new):
         words = binaries(data, starts[index[new]], ends[index[new]]).cast(pa.large_string())
         ids, sizes = encode_all(own.words, pc.replace_substring(words, " ", MARK).to_pylist())
-        fine = np.ones(len(new), bool)
+        fine = np.ones((len(new), 2), bool)
         if other:
             # The other library puts the prefix in itself, and has no ids for a lone prefix.
             alone = [x[1:] for x in words.to_pylist()]
-            fine = agree(other, alone, ids, sizes) | np.array([not x for x in alone])
+            fine[:, 0] = agree(other, alone, ids, sizes) | np.array([not x for x in alone])
+            bounds = np.cumsum(sizes)
+            flat = ids.tolist()
+            found = back_to_text(own, [flat[b - n : b] for b, n in zip(bounds.tolist(), sizes.tolist())])
+            # A literal marker is a space to the model.
+            fine[:, 1] = pc.equal(pa.array(found, pa.large_string()), pc.replace_substring(words, MARK, " ")).to_numpy(zero_copy_only=False)
         return ids, sizes, fine
 
     at = own.ids.get(keys, make)[inverse]
     ids, ends = own.ids.spread(at)
-    wrong = np.concatenate(([0], np.cumsum(~own.ids.fine[at])))
-    return ids, np.diff(ends[first]), np.diff(wrong[first]) == 0
+    wrong = np.concatenate((np.zeros((1, 2), np.int64), np.cumsum(~own.ids.fine[at], axis=0)))
+    return ids, np.diff(ends[first]), wrong[first[1:]] == wrong[first[:-1]]
 
 
 def decode_words(own: Built, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -305,11 +321,8 @@ def decode_words(own: Built, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
     keys, index, inverse = np.unique(byte_spans(ids, starts, ends), return_index=True, return_inverse=True)
 
     def make(new):
-        # With one more word in front, the library leaves the word's own marker alone.
-        ahead = own.words.encode(f"{MARK}a").ids
-        rows = [ahead + ids[starts[i] : ends[i]].tolist() for i in index[new]]
-        words = [x[1:].encode() for i in range(0, len(rows), BATCH_ROWS) for x in own.texts.decode_batch(rows[i : i + BATCH_ROWS], skip_special_tokens=False)]
-        return np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words)), np.ones(len(words), bool)
+        words = [x.encode() for x in back_to_text(own, [ids[starts[i] : ends[i]].tolist() for i in index[new]])]
+        return np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words)), np.ones((len(words), 2), bool)
 
     at = own.bytes.get(keys, make)[inverse]
     data, ends = own.bytes.spread(at)
@@ -319,14 +332,16 @@ def decode_words(own: Built, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return binaries(data, bounds[:-1] + first, bounds[1:]).cast(pa.large_string())
 
 
-def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out: str = "token_ids", same: str | None = None, threads: int = THREADS) -> DataFrame:
+def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out: str = "token_ids", checks: tuple[str, str] | None = None, threads: int = THREADS) -> DataFrame:
     """``docs`` with the array column ``out``: the ids of the whole text.
 
-    ``same`` names a boolean column to add: whether the reference library gives
-    the same ids.  A null text is the empty text; an empty text has no ids.
-    Text that looks like a control piece is ordinary text.  Columns already
-    called ``out`` or ``same`` are replaced; all other columns and rows stay,
-    also of an empty table.
+    ``checks`` names two boolean columns to add: whether the reference library
+    gives the same ids, and whether the ids decode to the text (a literal marker
+    to the space that it stands for; the text as the model normalises it).  A
+    null text is the empty text; an empty text has no ids.  Text that looks like
+    a control piece is ordinary text.  Columns already called ``out`` or as
+    ``checks`` say are replaced; all other columns and rows stay, also of an
+    empty table.
     """
     content = model_bytes(docs.sparkSession, path)
 
@@ -334,23 +349,27 @@ def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out: str
         import sentencepiece
 
         own = built(content, threads)
-        other = sentencepiece.SentencePieceProcessor(model_proto=content) if same else None
+        other = sentencepiece.SentencePieceProcessor(model_proto=content) if checks else None
         data, offsets = texts(column)
-        ids, sizes, fine = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], [np.zeros(0, bool)]
+        ids, sizes, fine = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], [np.zeros((0, 2), bool)]
         for low, high in blocks(offsets, BATCH_BYTES):
             at = offsets[low : high + 1]
             if own.model.by_word:
                 found = encode_words(own, data[at[0] : at[-1]], at - at[0], other)
             else:
                 rows = [x or "" for x in column[low:high].to_pylist()]
-                found = encode_all(own.texts, rows)
-                found = *found, agree(other, rows, *found) if other else np.ones(len(rows), bool)
+                found = *encode_all(own.texts, rows), np.ones((len(rows), 2), bool)
+                if other:
+                    lists = np.split(found[0], np.cumsum(found[1])[:-1])
+                    found[2][:, 0] = agree(other, rows, *found[:2])
+                    found[2][:, 1] = [a == b for a, b in zip(own.texts.decode_batch([x.tolist() for x in lists], skip_special_tokens=False), map(other.decode, map(other.encode, rows)))]
             for kept, new in zip((ids, sizes, fine), found, strict=True):
                 kept.append(new)
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), pa.array(np.concatenate(ids)))
-        return [lists, pa.array(np.concatenate(fine))] if same else [lists]
+        fine = np.concatenate(fine)
+        return [lists, pa.array(fine[:, 0]), pa.array(fine[:, 1])] if checks else [lists]
 
-    return with_columns(docs, [text_col], work, f"`{out}` array<int>" + (f", `{same}` boolean" if same else ""))
+    return with_columns(docs, [text_col], work, f"`{out}` array<int>" + "".join(f", `{name}` boolean" for name in checks or ()))
 
 
 def decode(docs: DataFrame, path: str = MODEL, ids_col: str = "token_ids", out: str = "decoded", threads: int = THREADS) -> DataFrame:

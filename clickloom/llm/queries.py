@@ -11,7 +11,7 @@ from .contamination import find_passages
 from .exact import exact_copies
 from .learning import held_out
 from .lines import drop_repeated_lines
-from .pieces import decode, encode
+from .pieces import encode
 from .wordpiece import token_counts
 
 
@@ -39,11 +39,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    out = decode(encode(docs, same="parity"))
-    # A literal marker is decoded as the space that it stands for.
-    same = F.col("decoded") == F.replace("text", F.lit("▁"), F.lit(" "))
-    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "parity", same.alias("round_trip"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = encode(docs, checks=("parity", "round_trip"))
+    return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "parity", "round_trip")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
