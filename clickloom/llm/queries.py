@@ -12,6 +12,7 @@ from .exact import exact_copies
 from .learning import held_out
 from .lines import drop_repeated_lines
 from .pieces import encode
+from .similar import near_copies
 from .wordpiece import token_counts
 
 
@@ -53,9 +54,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(read(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return _scored(toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels"))), 0.5)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op5_quality, op6_sentencepiece, op8_decontamination, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op5_quality, op6_sentencepiece, op8_decontamination, op9_similar, op10_toxicity)}
