@@ -26,6 +26,28 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM owned GROUP BY doc_id
 """
 
+OP4 = """
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+), word AS (
+  SELECT doc_id, w[s] AS b, CASE WHEN s = 1 THEN '' ELSE w[s - 1] END AS a
+  FROM doc, unnest(range(1, len(w) + 1)) AS r(s)
+), one AS (
+  SELECT b AS x, count(*) AS c FROM word GROUP BY b
+  UNION ALL SELECT '', count(*) FROM word WHERE a = ''
+), two AS (SELECT a, b, count(*) AS c FROM word GROUP BY a, b
+), scored AS (
+  SELECT doc_id, two.c < 2 AS backed,
+         CASE WHEN two.c >= 2 THEN ln(two.c) - ln(ca.c) ELSE ln(0.4) + ln(cb.c) - ln((SELECT count(*) FROM word)) END AS s
+  FROM word JOIN two USING (a, b) JOIN one ca ON ca.x = a JOIN one cb ON cb.x = b
+), summed AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (backed) AS n_backoff, sum(s) AS s FROM scored GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_backoff, 0) AS n_backoff, round(s / n_words, 6) AS mean_log_score
+FROM doc LEFT JOIN summed USING (doc_id)
+"""
+
 OP8 = """
 WITH doc AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -54,4 +76,4 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op2_exact_dedup": OP2, "op3_line_dedup": OP3, "op8_decontamination": OP8}
+ORACLES = {"op2_exact_dedup": OP2, "op3_line_dedup": OP3, "op4_lm_scores": OP4, "op8_decontamination": OP8}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import quality, toxicity
+from .backoff import backoff_scores
 from .common import read
 from .contamination import find_passages
 from .exact import exact_copies
@@ -30,6 +31,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = backoff_scores(read(spark, sf_dir, "documents"))
+    # Sums of logarithms come in any order: what they share is given.
+    return out.select("doc_id", "n_words", "n_backoff", F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 def _scored(out: DataFrame, threshold: float) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -63,4 +70,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels"))), 0.5)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op5_quality, op6_sentencepiece, op8_decontamination, op9_similar, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_quality, op6_sentencepiece, op8_decontamination, op9_similar, op10_toxicity)}
