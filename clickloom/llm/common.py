@@ -112,6 +112,14 @@ def byte_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return spans(data, starts, ends, _bytes)
 
 
+def prefix_hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` bytes from each place on; the last ``size - 1`` places have none."""
+    ahead, back = _bytes.get(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * ahead[: len(data)], out=total[1:])
+    return mix((total[size:] - total[:-size]) * back[: len(total) - size] + np.uint64(size)) if len(data) >= size else total[:0]
+
+
 class Grams:
     """Hashes of runs of words, given the words' own hashes."""
 

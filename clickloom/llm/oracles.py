@@ -48,6 +48,27 @@ SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_backoff, 0) AS n_back
 FROM doc LEFT JOIN summed USING (doc_id)
 """
 
+OP7 = """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), byte AS (
+  SELECT doc_id, i, x[2 * i - 1 : 2 * i] AS b, CASE WHEN 2 * i + 98 <= length(x) THEN x[2 * i - 1 : 2 * i + 98] END AS win
+  FROM doc, unnest(range(1, length(x) // 2 + 1)) AS r(i)
+), owned AS (
+  SELECT doc_id, i, b, win IS NOT NULL AND min(doc_id) OVER (PARTITION BY win) < doc_id AS hit FROM byte
+), covered AS (
+  SELECT doc_id, i, b, bool_or(hit) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM owned
+), runs AS (
+  SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY i) AS opens FROM covered
+), summed AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS removed, count(*) FILTER (opens) AS spans,
+         string_agg(b, '' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM runs GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM doc LEFT JOIN summed USING (doc_id)
+"""
+
 OP8 = """
 WITH doc AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -76,4 +97,4 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op2_exact_dedup": OP2, "op3_line_dedup": OP3, "op4_lm_scores": OP4, "op8_decontamination": OP8}
+ORACLES = {"op2_exact_dedup": OP2, "op3_line_dedup": OP3, "op4_lm_scores": OP4, "op7_suffix_dedup": OP7, "op8_decontamination": OP8}

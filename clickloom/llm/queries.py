@@ -14,6 +14,7 @@ from .learning import held_out
 from .lines import drop_repeated_lines
 from .pieces import encode
 from .similar import near_copies
+from .substrings import drop_repeats
 from .wordpiece import token_counts
 
 
@@ -52,6 +53,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "parity", "round_trip")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_repeats(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = find_passages(docs, read(spark, sf_dir, "benchmark"))
@@ -70,4 +76,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels"))), 0.5)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_quality, op6_sentencepiece, op8_decontamination, op9_similar, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_quality, op6_sentencepiece, op7_suffix_dedup, op8_decontamination, op9_similar, op10_toxicity)}
