@@ -7,11 +7,11 @@ as deep as the matched prefix.  The prefix is shortened from ``LONGEST`` values
 until a pair just at the threshold shares such a node with the target
 probability, so any pair above it does so with more.
 
-The members of a node are verified in blocks: a node of ``g`` members has about
-``(g / BLOCK)**2 / 2`` tasks, none larger than two blocks, and a task gives each
-member's number of links and a spanning forest, never the pairs.  A pair is
-counted in the first trie that brings it together.  Nodes that hold the same
-members as one of an earlier trie hold no new pair and are left out.
+Classes that nodes hold together, directly or over others, form a cluster, so
+all candidates of a class are in its cluster and a pair is met once.  A cluster
+of ``g`` members is verified in about ``(g / BLOCK)**2 / 2`` tasks, none larger
+than two blocks; a task compares the candidates among its pairs and gives each
+member's number of links and a spanning forest, never the pairs.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ THRESHOLD = 0.8
 TREES = 16
 LONGEST = 8
 RECALL = 0.999
-BLOCK = 512
+BLOCK = 1024
 #: Columns of the membership matrix of a task that are multiplied at once.
 COLUMNS = 4096
 #: Where two similarities differ only by rounding.
@@ -134,20 +134,20 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def verify(tree: int, half: np.ndarray, keys: list[bytes], sizes: np.ndarray, nodes: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def verify(half: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Links of each member (weighed by ``sizes``) and the first member of its linked group, over one task's pairs.
 
     ``half``: 0 for the members of the left block, 1 for the right one; all 0
     when the task is a block with itself.
     """
-    m = len(keys)
+    m = len(sets)
     left, right = np.flatnonzero(half == 0), np.flatnonzero(half == 1)
     alone = not len(right)
     if alone:
         right = left
-    same = nodes[left][:, None, :] == nodes[right][None, :, :]
-    pair = same.argmax(axis=2) == tree
-    pair &= same[:, :, tree]
+    pair = np.zeros((len(left), len(right)), bool)
+    for tree in range(nodes.shape[1]):
+        pair |= nodes[left, tree][:, None] == nodes[right, tree][None, :]
     if alone:
         pair &= left[:, None] < right[None, :]
     n = np.array([len(s) for s in sets], np.float64)
@@ -187,7 +187,7 @@ def _tasks(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.R
         keys = [rows["set_key"][i] for i in at]
         own = np.array([rows["block"][i] for i in at])
         half = (own != rows["low"][0]).astype(np.int64)
-        links, root = verify(rows["tree"][0], half, keys, np.array([rows["size"][i] for i in at], np.int64), np.array([rows["nodes"][i] for i in at], np.int64), sets, threshold)
+        links, root = verify(half, np.array([rows["size"][i] for i in at], np.int64), np.array([rows["nodes"][i] for i in at], np.int64), sets, threshold)
         hit = np.flatnonzero(links)
         if not len(hit):
             return None
@@ -242,18 +242,19 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     depth = prefix_length(threshold, trees, longest, recall)
     signed = pin(signatures(docs, id_col, text_col, size, trees, depth))
     classes = pin(signed.where("n > 0").groupBy("set_key").agg(F.min("id").alias("rep"), F.count("*").alias("size"), F.first("nodes").alias("nodes")))
-    exploded = classes.select("set_key", "rep", F.posexplode("nodes").alias("tree", "node"))
-    shared = exploded.groupBy("tree", "node").agg(F.count("*").alias("g"), F.sum(F.xxhash64("set_key").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("set_key")).alias("x")).where("g > 1")
-    new = shared.groupBy("g", "s", "x").agg(F.min_by(F.struct("tree", "node"), "tree").alias("at")).select("at.*", "g")
-    blocks = F.ceil(F.col("g") / block).cast("int")
-    members = pin(exploded.join(new, ["tree", "node"]).select("set_key", "rep", "tree", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("set_key"), blocks).cast("int").alias("block")))
-    wanted = members.select("rep").distinct()
+    exploded = classes.select("set_key", F.posexplode("nodes").alias("tree", "node"))
+    shared = pin(exploded.groupBy("tree", "node").agg(F.min("set_key").alias("least"), F.count("*").alias("g")).where("g > 1").drop("g"))
+    clusters = components(exploded.join(shared, ["tree", "node"]).select(F.col("set_key").alias("a"), F.col("least").alias("b")))
+    blocks = pin(clusters.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")))
+    members = pin(clusters.join(blocks, "label").withColumnRenamed("node", "set_key").join(classes, "set_key").withColumn("block", F.pmod(F.xxhash64("set_key"), "blocks").cast("int")))
+    # The side to keep grows with the input: never a broadcast, whatever its size now.
+    wanted = members.select("rep").distinct().hint("merge")
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(wanted, "rep", "left_semi")
-    sets = full_sets(texts, "rep", "text", size).join(members.select("set_key").distinct(), "set_key", "left_semi")
-    tasks = members.select("set_key", "tree", "node", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    tasks = tasks.select("set_key", "tree", "block", F.least("block", "other").alias("low"), F.xxhash64("tree", "node", F.least("block", "other"), F.greatest("block", "other")).alias("task"))
-    filled = tasks.join(classes.select("set_key", "size", "nodes"), "set_key").join(sets, "set_key")
-    sized = filled.select("task", "tree", "low", "block", "set_key", "size", "nodes", "shingles").repartition("task").sortWithinPartitions("task")
+    sets = full_sets(texts, "rep", "text", size)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    tasks = members.join(sets, "set_key").select("set_key", "label", "block", "size", "nodes", "shingles", other)
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    sized = tasks.select(F.xxhash64("label", low, high).alias("task"), low.alias("low"), "block", "set_key", "size", "nodes", "shingles").repartition("task").sortWithinPartitions("task")
     found = pin(sized.mapInArrow(lambda batches: _tasks(batches, threshold), "set_key binary, links long, root binary"))
     groups = components(found.select(F.col("set_key").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("set_key").agg(F.sum("links").alias("links"))
