@@ -30,7 +30,9 @@ from .common import binaries, blocks, byte_spans, prefix_hashes, sliding_min, te
 SIZE = 50
 MINIMIZER = 16
 SEPARATOR = 0xFF  # no byte of UTF-8
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+#: Segments of whole minimizers that are sorted together; a minimizer with more is sorted alone.
+SHARD_BYTES = 1 << 20
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -132,26 +134,42 @@ def owners(values: np.ndarray, data: np.ndarray, low: np.ndarray, high: np.ndarr
     """
     windows = high - low - size + 1
     out = np.repeat(least, windows)
+    first = np.cumsum(windows) - windows
     _, group, members = np.unique(values, return_inverse=True, return_counts=True)
-    several = np.flatnonzero(members[group] > 1)
-    if not len(several):
+    order = np.argsort(group, kind="stable")
+    order = order[members[group[order]] > 1]
+    if not len(order):
         return out
-    lengths = (high - low)[several] + 1
-    begin = np.cumsum(lengths) - lengths
-    text = np.full(lengths.sum(), SEPARATOR, np.uint8)
-    take = np.arange((lengths - 1).sum()) + np.repeat(low[several] - (begin - np.arange(len(several))), lengths - 1)
-    text[np.arange((lengths - 1).sum()) + np.repeat(np.arange(len(several)), lengths - 1)] = data[take]
-    first = np.cumsum(windows) - windows
+    # Minimizers one after the other; a shard is cut where one of them ends.
+    total = np.cumsum(high[order] - low[order] + 1)
+    ends = np.append(np.flatnonzero(group[order][1:] != group[order][:-1]) + 1, len(order))
+    begin = 0
+    while begin < len(order):
+        done = total[begin - 1] if begin else 0
+        k = np.searchsorted(total[ends - 1], done + SHARD_BYTES, "right")
+        end = int(ends[min(max(k - 1, np.searchsorted(ends, begin, "right")), len(ends) - 1)])
+        _shard_owners(order[begin:end], data, low, high, least, windows, first, size, out)
+        begin = end
+    return out
+
+
+def _shard_owners(own: np.ndarray, data: np.ndarray, low: np.ndarray, high: np.ndarray, least: np.ndarray, windows: np.ndarray, first: np.ndarray, size: int, out: np.ndarray) -> None:
+    """Write the smallest documents of the windows of the segments ``own`` to ``out``."""
+    lengths = high[own] - low[own]
+    begin = np.cumsum(lengths + 1) - lengths - 1
+    text = np.full(int(lengths.sum()) + len(own), SEPARATOR, np.uint8)
+    at = np.arange(lengths.sum())
+    before = np.cumsum(lengths) - lengths
+    text[at + np.repeat(begin - before, lengths)] = data[at + np.repeat(low[own] - before, lengths)]
     for places, group in suffixes.repeated(text, size):
         segment = np.searchsorted(begin, places, "right") - 1
         inside = places - begin[segment]
-        whole = inside < windows[several[segment]]
-        segment, inside, group = several[segment[whole]], inside[whole], group[whole]
+        whole = inside < windows[own[segment]]
+        segment, inside, group = own[segment[whole]], inside[whole], group[whole]
         if len(group):
             starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
             smallest = np.minimum.reduceat(least[segment], starts)
             out[first[segment] + inside] = np.repeat(smallest, np.diff(np.append(starts, len(group))))
-    return out
 
 
 def _resolve(batches, size: int):
