@@ -10,8 +10,8 @@ n-grams with the documents that hold them and how often.  A bucket owns all
 words of some hash range.  It gets each word's postings and each pair twice, as
 a continuation of its first word and as a predecessor of its second, so that
 ``c(v)``, ``c(w)`` and ``c(v w)`` meet where they are needed: the bucket counts,
-joins counts and postings, and gives one partial sum per document.  Sums are
-then added per document.
+joins counts and postings, and gives the partial sums of each block's documents,
+packed again.  They are added per block, then per document.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,6 @@ from .common import Words, mix, pin, word_blocks
 ALPHA = 0.4
 #: Pairs seen fewer times are as unseen, so that a text is not its own evidence.
 MIN_COUNT = 2
-#: Buckets for each shuffle partition: memory of a task follows one bucket.
-BUCKETS = 4
 START = np.uint64(0x6A09E667F3BCC909)
 NO_ID = -(1 << 63)
 # Packed parts of a row: words, pairs by first word, pairs by second word.
@@ -104,7 +103,7 @@ def totals(lists: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[
 
 
 def bucket_sums(blocks: list[list[bytes]], min_count: int) -> Iterator[pa.RecordBatch]:
-    """Each document's share of words, backed-off words and log-scores in one bucket."""
+    """Each document's share of words, backed-off words and log-scores in one bucket, packed by block."""
     lists = [[unpack(x, 4) for x in row[:3]] for row in blocks]
     (words, c_word, _), (after, c_after, at_after), (before, c_before, at_before) = (totals([x[i] for x in lists]) for i in range(3))
     half = np.uint64(32)
@@ -122,8 +121,31 @@ def bucket_sums(blocks: list[list[bytes]], min_count: int) -> Iterator[pa.Record
         place = np.repeat(at_before[i], n_before)
         total += np.bincount(docs_before, fall[place] * times_before, size)
         backed = np.bincount(docs_before, back[place] * times_before, size)
-        used = np.flatnonzero((n > 0) | (backed > 0))
-        yield pa.RecordBatch.from_arrays([pa.array(ids[used]), pa.array(n[used].astype(np.int64)), pa.array(backed[used].astype(np.int64)), pa.array(total[used])], ["id", "n", "backed", "total"])
+        sums = pack(n.astype(np.uint32), backed.astype(np.uint32), total)
+        # Blocks of the same ids may share a name: their sums would be added in the end anyway.
+        name = xxhash.xxh3_128_digest(row[3])
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (name, row[3], sums)], ["block", "ids", "sums"])
+
+
+def add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of each document of a block over all buckets, from rows sorted by block."""
+    at, ids, total = None, None, None
+
+    def done():
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[0].astype(np.int64)), pa.array(total[1].astype(np.int64)), pa.array(total[2])], ["id", "n", "backed", "total"])
+
+    for batch in batches:
+        for block, packed, sums in zip(*batch.columns, strict=True):
+            n, backed, score = unpack(sums.as_py(), 3)
+            new = [n.astype(np.float64), backed.astype(np.float64), score.view(np.float64)]
+            if block.as_py() == at:
+                total = [a + b for a, b in zip(total, new, strict=True)]
+                continue
+            if at is not None:
+                yield done()
+            at, ids, total = block.as_py(), np.cumsum(unpack(packed.as_py(), 1)[0].view(np.int64)), new
+    if at is not None:
+        yield done()
 
 
 def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, min_count: int = MIN_COUNT) -> DataFrame:
@@ -136,33 +158,24 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = BUCKETS * partitions
-
     def send(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for low, high, words in word_blocks(batch.column(1)):
-                found = list(block_rows(words, ids[low:high], buckets))
+                found = list(block_rows(words, ids[low:high], partitions))
                 yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int32()), *(pa.array([x[k] for _, x in found], pa.binary()) for k in range(4))], ["bucket", *KINDS, "ids"])
 
     def score(batches):
-        held, at = [], None
-        for batch in batches:
-            columns = [batch.column(i) for i in range(5)]
-            for i, bucket in enumerate(columns[0].to_pylist()):
-                if held and bucket != at:
-                    yield from bucket_sums(held, min_count)
-                    held = []
-                at = bucket
-                held.append([c[i].as_py() for c in columns[1:]])
+        held = [[c.as_py() for c in row] for batch in batches for row in zip(*batch.columns[1:], strict=True)]
         if held:
             yield from bucket_sums(held, min_count)
 
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), F.col(text_col))
     packed = rows.mapInArrow(send, "bucket int, words binary, after binary, before binary, ids binary")
-    sorted_rows = packed.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    parts = sorted_rows.mapInArrow(score, "id long, n long, backed long, total double")
-    sums = parts.groupBy("id").agg(F.sum("n").alias("n_words"), F.sum("backed").alias("n_backoff"), F.sum("total").alias("total"))
+    # A bucket is a partition.
+    parts = packed.repartitionById(partitions, "bucket").mapInArrow(score, "block binary, ids binary, sums binary")
+    added = parts.repartition(partitions, "block").sortWithinPartitions("block").mapInArrow(add_blocks, "id long, n long, backed long, total double")
+    sums = added.groupBy("id").agg(F.sum("n").alias("n_words"), F.sum("backed").alias("n_backoff"), F.sum("total").alias("total"))
     # The number of words is only known at the end; it enters once for each backed-off word.
     sums = pin(sums)
     words = sums.agg(F.sum("n_words")).head()[0] or 1
