@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix, pin, word_blocks
+from .common import Words, mix, pin, release, word_blocks
 
 ALPHA = 0.4
 #: Pairs seen fewer times are as unseen, so that a text is not its own evidence.
@@ -112,6 +112,7 @@ def bucket_sums(blocks: list[list[bytes]], min_count: int) -> Iterator[pa.Record
     gain = np.where(seen, np.log(c_after) - np.log(owner(after)), 0.0)
     back = c_before < min_count
     fall = np.where(back, np.log(owner(before)), 0.0)
+    release()
     for i, row in enumerate(blocks):
         ids = np.cumsum(unpack(row[3], 1)[0].view(np.int64))
         (_, n_after, docs_after, times_after), (_, n_before, docs_before, times_before) = lists[i][1:]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -93,6 +94,8 @@ class Powers:
         return self.ahead, self.back
 
 
+# Only the GNU C library has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _bytes, _words = Powers(BYTE_BASE), Powers(WORD_BASE)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -150,6 +153,13 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker stays, and its share of an executor is small."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes each; a longer row is a range of its own."""
     low, n = 0, len(offsets) - 1
@@ -157,6 +167,7 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1)
         yield low, min(high, n)
         low = min(high, n)
+        release()
 
 
 class Words:

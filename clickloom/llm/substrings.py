@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import suffixes
 from .backoff import NO_ID, pack, postings, unpack
-from .common import binaries, blocks, byte_spans, prefix_hashes, sliding_min, texts, work_dir
+from .common import binaries, blocks, byte_spans, prefix_hashes, release, sliding_min, texts, work_dir
 
 SIZE = 50
 MINIMIZER = 16
@@ -98,6 +98,7 @@ def _find_shared(batches):
             if held and bucket != at:
                 yield from _shared(held)
                 held = []
+                release()
             at = bucket
             held.append(tuple(row))
     if held:
@@ -150,6 +151,7 @@ def owners(values: np.ndarray, data: np.ndarray, low: np.ndarray, high: np.ndarr
         end = int(ends[min(max(k - 1, np.searchsorted(ends, begin, "right")), len(ends) - 1)])
         _shard_owners(order[begin:end], data, low, high, least, windows, first, size, out)
         begin = end
+        release()
     return out
 
 
