@@ -2,7 +2,7 @@
 
 from .clock import event_date, event_time, utc_hour, utc_weekday, visit_indicators
 from .naming import age_bucket, label, quoted, sql_text
-from .payload import decode_events, decode_payload, encode_payload
+from .payload import decode_events, decode_payload, encode_payload, price
 from .urls import domain_of, unescape_url
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "event_date",
     "event_time",
     "label",
+    "price",
     "quoted",
     "sql_text",
     "unescape_url",

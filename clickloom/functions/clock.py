@@ -18,19 +18,30 @@ WEEKDAYS = ("sun", "mon", "tue", "wed", "thu", "fri", "sat")
 # Half-open hour ranges of the two fractions.
 WORK_HOURS = (9, 18)
 EVENING_HOURS = (18, 24)
+# First and last millisecond of the years 1 to 9999.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def _periods(ts_ms: Column, length_ms: int) -> Column:
-    return F.floor(ts_ms / F.lit(length_ms))
+    return F.floor(readable(ts_ms) / F.lit(length_ms))
+
+
+def readable(ts_ms: Column) -> Column:
+    """The instant, or null outside the years 1 to 9999: such a value is no time.
+
+    Everything below goes by this rule, so one bad message is an unreadable
+    time and never an error.
+    """
+    return F.when(ts_ms.between(FIRST_MS, LAST_MS), ts_ms)
 
 
 def event_time(ts_ms: Column) -> Column:
-    """Epoch milliseconds as a TIMESTAMP (an instant)."""
-    return F.timestamp_millis(ts_ms)
+    """Epoch milliseconds as a TIMESTAMP (an instant); null when unreadable."""
+    return F.timestamp_millis(readable(ts_ms))
 
 
 def event_date(ts_ms: Column) -> Column:
-    """UTC date of an instant as ``yyyyMMdd`` text."""
+    """UTC date of an instant as ``yyyyMMdd`` text; null when unreadable."""
     day = F.date_add(F.lit("1970-01-01").cast("date"), _periods(ts_ms, DAY_MS).cast("int"))
     return F.date_format(day, "yyyyMMdd")
 

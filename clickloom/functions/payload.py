@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import EVENT_MESSAGE
 from .naming import quoted
 
+# Wide enough for any BIGINT, with six digits of a fraction.
+NUMBER = "decimal(25,6)"
+
 
 def decode_payload(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Bytes or text ``value`` to top-level columns; broken JSON gives nulls.
@@ -30,9 +33,19 @@ def decode_events(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return number_timestamps(decode_payload(df, EVENT_MESSAGE, keep))
 
 
+def whole_number(value: Column) -> Column:
+    """Number or numeric text as BIGINT, a fraction cut off downwards; null where it is none."""
+    return F.floor(value.try_cast(NUMBER)).try_cast("bigint")
+
+
+def price(value: Column) -> Column:
+    """Number or numeric text as an exact decimal; null where it is none."""
+    return value.try_cast(NUMBER)
+
+
 def number_timestamps(events: DataFrame) -> DataFrame:
     """``timestamp`` given as text to a number; null where it is none."""
-    return events.withColumn("timestamp", F.col("timestamp").try_cast("bigint"))
+    return events.withColumn("timestamp", whole_number(F.col("timestamp")))
 
 
 def encode_payload(df: DataFrame, columns: Sequence[str], topic: str | None = None) -> DataFrame:

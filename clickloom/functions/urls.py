@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Host of an http(s) URL: optional user info is skipped, port and path end it.
-LENIENT_HOST = r"^https?://(?:[^/?#@]*@)?([^/?#:]+)"
+# An address in brackets holds colons of its own.
+LENIENT_HOST = r"^https?://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]+)"
 
 # What each ``strip`` mode removes from a host.
 STRIP_PATTERNS = {"prefix": r"^www\.", "anywhere": r"www."}

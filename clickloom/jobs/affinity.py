@@ -1,6 +1,7 @@
 """Rank domains for a segment.
 
-Options: ``spark.affinity.log_path``, ``.segment_path``, ``.output``, ``.k``.
+Options: ``spark.affinity.log_path``, ``.segment_path``, ``.output``, ``.k``,
+``.multi_line`` (1: the segment document spans several lines; default 0).
 """
 
 from clickloom.jobs.session import job_session
@@ -17,6 +18,7 @@ def main() -> None:
             "segment_path": (str, REQUIRED),
             "output": (str, REQUIRED),
             "k": (int, 200),
+            "multi_line": (lambda raw: int(raw) == 1, False),
         },
     )
     rank_domains(spark, **conf)

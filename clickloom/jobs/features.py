@@ -1,7 +1,8 @@
 """Build the feature table.
 
 Options: ``spark.features.weblogs_path``, ``.users_items_dir``, ``.output``,
-``.date`` (default: the newest snapshot), ``.n`` (vocabulary size).
+``.date`` (default: the newest snapshot), ``.n`` (vocabulary size), ``.wide``
+(0: item counts as one map; default 1).
 """
 
 from clickloom.jobs.session import job_session
@@ -20,6 +21,7 @@ def main() -> None:
             "output": (str, REQUIRED),
             "date": (str, None),
             "n": (int, 1000),
+            "wide": (lambda raw: int(raw) == 1, True),
         },
     )
     if conf["date"] is None:

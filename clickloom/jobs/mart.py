@@ -3,7 +3,8 @@
 Options: ``spark.mart.index_nodes``, ``.wide_column_host``,
 ``.weblogs_path``, ``.categories_url``, ``.output_url``, ``.user``,
 ``.password`` and, where the names differ, ``.visits_index``, ``.keyspace``,
-``.clients_table``, ``.categories_table``, ``.output_table``, ``.mode``.
+``.clients_table``, ``.categories_table``, ``.output_table``, ``.mode``,
+``.output_partitions`` (connections of the write at a time; default 8).
 """
 
 from clickloom.jobs.session import job_session
@@ -31,6 +32,7 @@ def main() -> None:
             "user": (str, None),
             "password": (str, None),
             "mode": (str, "overwrite"),
+            "output_partitions": (int, 8),
         },
     )
     login = {"user": conf["user"], "password": conf["password"]}
@@ -40,7 +42,10 @@ def main() -> None:
         visits=search_index(conf["visits_index"], conf["index_nodes"]),
         weblogs=json_files(conf["weblogs_path"]),
         categories=relational(conf["categories_url"], conf["categories_table"], **login),
-        sink=SinkSpec.of(relational(conf["output_url"], conf["output_table"], **login)),
+        sink=SinkSpec.of(
+            relational(conf["output_url"], conf["output_table"], **login),
+            conf["output_partitions"],
+        ),
         mode=conf["mode"],
     )
 

@@ -3,7 +3,8 @@
 Options: ``spark.filter.topic_name``, ``.offset``, ``.output_dir_prefix``,
 ``.bootstrap_servers``, ``.partitions`` (of the topic), ``.min_partitions`` (of
 the read: lets several tasks share one large topic partition), ``.rebalance``
-(1 merges small files by a shuffle, 0 writes as read; default 1).  With
+(1 merges small files by a shuffle, 0 writes as read; default 1), ``.layout``
+(``moved``: ``<kind>/``, or ``partitions``: ``kind=<kind>/`` without moves).  With
 ``.topic_path`` (and ``.topic_format``) files stand in for a broker.
 """
 
@@ -25,6 +26,7 @@ def main() -> None:
             "partitions": (int, 1),
             "min_partitions": (str, None),
             "rebalance": (int, 1),
+            "layout": (str, "moved"),
             "topic_path": (str, None),
             "topic_format": (str, "text"),
         },
@@ -37,7 +39,8 @@ def main() -> None:
             options["minPartitions"] = conf["min_partitions"]
         topic = TopicSpec(conf["topic_name"], options=options, partitions=conf["partitions"])
     output, offset = conf["output_dir_prefix"], conf["offset"]
-    split_events(spark, topic, output, offset, rebalance=conf["rebalance"] == 1)
+    rebalance = conf["rebalance"] == 1
+    split_events(spark, topic, output, offset, rebalance=rebalance, layout=conf["layout"])
 
 
 if __name__ == "__main__":

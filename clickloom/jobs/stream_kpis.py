@@ -1,7 +1,8 @@
 """Hourly KPIs from a topic to a topic, until stopped.
 
 Options: ``spark.kpis.topic_in``, ``.topic_out``, ``.checkpoint``,
-``.bootstrap_servers``, ``.window``, ``.trigger``, ``.watermark``,
+``.bootstrap_servers``, ``.window``, ``.start`` (epoch milliseconds at which a
+window begins), ``.trigger``, ``.watermark``,
 ``.max_offsets`` (per micro-batch; bounds the first one on a full topic).
 With ``.path_in`` and ``.path_out`` files stand in for the topics.
 """
@@ -24,6 +25,7 @@ def main() -> None:
             "window": (str, "1 hour"),
             "trigger": (str, "5 seconds"),
             "watermark": (str, None),
+            "start": (int, None),
             "max_offsets": (str, None),
             "path_in": (str, None),
             "path_out": (str, None),
@@ -46,6 +48,7 @@ def main() -> None:
         conf["window"],
         conf["trigger"],
         conf["watermark"],
+        conf["start"],
     ).awaitTermination()
 
 

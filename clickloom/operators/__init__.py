@@ -18,6 +18,7 @@ from .mart import (
     web_category_matrix,
 )
 from .matrix import (
+    count_map,
     count_long,
     count_matrix,
     distinct_values,
@@ -31,6 +32,7 @@ from .matrix import (
 )
 
 __all__ = [
+    "count_map",
     "bucket_distribution",
     "count_long",
     "count_matrix",

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.payload import price
+
 
 def kind_checksums(df: DataFrame, kind: str = "event_type") -> DataFrame:
-    """Rows and price sum per event kind."""
-    price = F.col("item_price").try_cast("bigint")
-    return df.groupBy(kind).agg(
-        F.count("*").alias("n_rows"), F.sum(price).alias("price_checksum")
-    )
+    """Rows and price sum per event kind, the whole part of the exact sum."""
+    total = F.sum(price(F.col("item_price"))).try_cast("bigint")
+    return df.groupBy(kind).agg(F.count("*").alias("n_rows"), total.alias("price_checksum"))
 
 
 def reconcile(sent: DataFrame, received: DataFrame, kind: str = "event_type") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import event_time
+from ..functions.clock import event_time, readable
 from ..schemas import KPI_COLUMNS
 
 EARLIEST = "earliest"
@@ -13,8 +13,10 @@ EARLIEST = "earliest"
 
 def _measures() -> list[Column]:
     bought = F.col("event_type") == "buy"
+    spent = F.when(bought, F.col("item_price")).otherwise(F.lit(0))
     return [
-        F.sum(F.when(bought, F.col("item_price")).otherwise(F.lit(0))).alias("revenue"),
+        # Prices may have a fraction: the sum is exact, then its whole part counts.
+        F.sum(spent).cast("bigint").alias("revenue"),
         # Visits with a known user, not distinct users.
         F.count("uid").alias("visitors"),
         F.count_if(bought).alias("purchases"),
@@ -56,10 +58,18 @@ def window_kpis(
 
 
 def _length_ms(length: str) -> int:
+    """Milliseconds of ``90 minutes 30 seconds`` and the like."""
     # Window units in milliseconds.
-    units = {"second": 1_000, "minute": 60_000, "hour": 3_600_000, "day": 86_400_000}
-    amount, unit = length.split()
-    return int(amount) * units[unit.rstrip("s")]
+    units = {
+        "millisecond": 1,
+        "second": 1_000,
+        "minute": 60_000,
+        "hour": 3_600_000,
+        "day": 86_400_000,
+        "week": 604_800_000,
+    }
+    words = length.lower().removeprefix("interval ").split()
+    return sum(int(n) * units[unit.rstrip("s")] for n, unit in zip(words[::2], words[1::2]))
 
 
 def _offset(start: int, length: str) -> int:
@@ -68,13 +78,13 @@ def _offset(start: int, length: str) -> int:
 
 def _from_earliest(timed: DataFrame, length: str) -> DataFrame:
     span = F.lit(_length_ms(length))
-    origin = timed.agg(F.min("timestamp")).scalar()
+    origin = timed.agg(F.min(readable(F.col("timestamp")))).scalar()
     elapsed = F.col("timestamp") - origin
     begin = origin + (elapsed - F.pmod(elapsed, span))
     window = F.struct(
         event_time(begin).alias("start"), event_time(begin + span).alias("end")
     ).alias("window")
-    timed = timed.where(F.col("timestamp").isNotNull())
+    timed = timed.where(F.col("event_time").isNotNull())
     return timed.groupBy(window).agg(*_measures())
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.naming import quoted, sql_text
+from ..paths import pinned, scratch_dir
 
 
 def count_long(df: DataFrame, row: str, item: str) -> DataFrame:
@@ -39,6 +40,18 @@ def distinct_values(df: DataFrame, item: str) -> list[str]:
     return [r[0] for r in found]
 
 
+def _differ_beyond_case(values: Sequence[str]) -> None:
+    """Column names are the same to Spark and to its files when only their case differs."""
+    seen: dict[str, str] = {}
+    for value in map(str, values):
+        other = seen.setdefault(value.lower(), value)
+        if other != value:
+            raise ValueError(
+                f"items {other!r} and {value!r} differ in case only and cannot both be"
+                " columns: keep the counts in long form"
+            )
+
+
 def to_wide(
     counts: DataFrame, row: str, item: str, values: Sequence[str], n: str = "n"
 ) -> DataFrame:
@@ -49,6 +62,7 @@ def to_wide(
     """
     if not values:
         return counts.select(row).distinct()
+    _differ_beyond_case(values)
     wide = counts.repartition(row).groupBy(row).pivot(item, list(values)).agg(F.sum(n))
     names = [quoted(str(v)) for v in values]
     return wide.selectExpr(quoted(row), *[f"coalesce({v}, 0L) AS {v}" for v in names])
@@ -59,12 +73,23 @@ def count_matrix(
 ) -> DataFrame:
     """Wide counts, columns sorted by item, absent = 0.
 
-    Without ``values`` the items are looked up first, which reads one more
-    column-pruned pass over ``df``.
+    Without ``values`` the reduced counts are written to the shared folder and
+    the items are looked up there, so ``df`` is read once either way.
     """
+    counts = count_long(df, row, item)
     if values is None:
-        values = distinct_values(df, item)
-    return to_wide(count_long(df, row, item), row, item, sorted(values))
+        counts = pinned(counts, scratch_dir(df.sparkSession))
+        values = distinct_values(counts, item)
+    return to_wide(counts, row, item, sorted(values))
+
+
+def count_map(counts: DataFrame, row: str, item: str, n: str = "n") -> DataFrame:
+    """Long counts to one map ``items`` of item to count per row key: no limit on the items.
+
+    Counts are unique by row and item, so a row gathers its own items only.
+    """
+    cells = F.collect_list(F.struct(item, n))
+    return counts.groupBy(row).agg(F.map_from_entries(F.array_sort(cells)).alias("items"))
 
 
 def to_long(wide: DataFrame, key: str, item: str = "item", n: str = "n") -> DataFrame:

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.urls import domain_of
 from ..operators.features import count_vector, feature_matrix, time_features, vocabulary
 from ..operators.mart import explode_visits
+from ..operators.matrix import count_map
 from ..sources.files import read_user_visits
 from ..sources.paths import Directory, scratch_dir
-from ..sources.snapshots import read_snapshot
+from ..sources.snapshots import read_snapshot, read_snapshot_counts
 from .pinning import pinned
 
 TOP_DOMAINS = 1000
@@ -45,12 +46,21 @@ def build_features(
     date: str,
     output: str,
     n: int = TOP_DOMAINS,
+    wide: bool = True,
 ) -> None:
-    """Read the log and one matrix snapshot, write the feature table."""
+    """Read the log and one matrix snapshot, write the feature table.
+
+    With ``wide`` off the counts come as one map ``items``, from the long form.
+    """
     scratch = scratch_dir(spark)
     try:
         visits = pinned_visits(read_user_visits(spark, weblogs_path), scratch)
-        table = feature_table(read_snapshot(spark, users_items_dir, date), visits, n)
+        if wide:
+            users_items = read_snapshot(spark, users_items_dir, date)
+        else:
+            counts = read_snapshot_counts(spark, users_items_dir, date, "uid", "item_id")
+            users_items = count_map(counts, "uid", "item_id")
+        table = feature_table(users_items, visits, n)
         table.write.mode("overwrite").parquet(output)
     finally:
         Directory(spark, scratch).delete()

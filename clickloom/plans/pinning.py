@@ -2,14 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from ..paths import pinned
 
-
-def pinned(df: DataFrame, path: str) -> DataFrame:
-    """``df`` written as a columnar table under ``path`` and read back.
-
-    Later steps do not repeat the work behind it, and a lost executor costs a
-    re-read only.
-    """
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["pinned"]

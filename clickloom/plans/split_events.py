@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from ..functions.payload import decode_events
-from ..sinks.split import KINDS, split_by_kind
+from ..sinks.split import KINDS, MOVED, split_by_kind
 from ..sources.topics import EARLIEST, TopicSpec, read_topic_batch
 
 
@@ -18,7 +18,8 @@ def split_events(
     offset: str | int = EARLIEST,
     kinds: Sequence[str] = KINDS,
     rebalance: bool = True,
+    layout: str = MOVED,
 ) -> None:
     """Decode the topic from ``offset`` on and split it by kind and UTC date."""
     messages = read_topic_batch(spark, topic, offset)
-    split_by_kind(decode_events(messages), output, kinds, rebalance)
+    split_by_kind(decode_events(messages), output, kinds, rebalance, layout)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..functions.payload import decode_events, encode_payload
+from ..functions.payload import decode_events, encode_payload, price
 from ..operators.kpis import window_kpis
 from ..sources.topics import TopicSpec, read_topic_stream
 from ..streaming.sinks import write_topic_stream
@@ -18,11 +18,14 @@ def kpi_messages(
     topic: str | None,
     length: str = "1 hour",
     watermark: str | None = None,
+    start: int | str | None = None,
 ) -> DataFrame:
-    """Event messages to KPI messages; works on batch and stream alike."""
-    price = F.col("item_price").try_cast("bigint")
-    events = decode_events(messages).withColumn("item_price", price)
-    kpis = window_kpis(events, length, watermark=watermark)
+    """Event messages to KPI messages; works on batch and stream alike.
+
+    ``start`` aligns the windows as ``window_kpis`` does.
+    """
+    events = decode_events(messages).withColumn("item_price", price(F.col("item_price")))
+    kpis = window_kpis(events, length, start, watermark)
     return encode_payload(kpis, schemas.KPI_COLUMNS, topic)
 
 
@@ -34,7 +37,12 @@ def stream_kpis(
     length: str = "1 hour",
     trigger: str = "5 seconds",
     watermark: str | None = None,
+    start: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream; every window is re-emitted whenever it changes."""
-    updates = kpi_messages(read_topic_stream(spark, source), sink.name, length, watermark)
+    """Start the stream; every window is re-emitted whenever it changes.
+
+    ``start`` (epoch milliseconds) is where the first window begins.
+    """
+    messages = read_topic_stream(spark, source)
+    updates = kpi_messages(messages, sink.name, length, watermark, start)
     return write_topic_stream(updates, sink, checkpoint, trigger)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import event_date
-from ..sources.paths import Directory, join, staging
+from ..sources.paths import Directory, join, recover, staging
 
 KINDS = ("view", "buy")
+MOVED, PARTITIONS = "moved", "partitions"
+READY = "_ready-"
 
 # Field order of an output line; numbers that travel as text stay text.
 OUTPUT_FIELDS = (
@@ -34,12 +37,21 @@ def dated_events(events: DataFrame) -> DataFrame:
 
 
 def split_by_kind(
-    events: DataFrame, path: str, kinds: Sequence[str] = KINDS, rebalance: bool = True
+    events: DataFrame,
+    path: str,
+    kinds: Sequence[str] = KINDS,
+    rebalance: bool = True,
+    layout: str = MOVED,
 ) -> None:
     """JSON lines under ``path/<kind>/p_date=YYYYMMDD``; other kinds are dropped.
 
     The input is read once: one write partitioned by kind and date goes to a
-    staging directory and each kind is moved to its place.  ``rebalance`` adds
+    staging directory, which is renamed when complete and whose kinds are then
+    moved to their places.  A job that dies between two moves is finished by the
+    next one on this path, so no new kind is left beside an old one.  With
+    ``layout='partitions'`` the output is ``path/kind=<kind>/p_date=...`` and
+    the executors commit it there: nothing is moved, which object stores would
+    do by copying; ``events`` must then not be read from ``path``.  ``rebalance`` adds
     a shuffle that merges small files and, unlike a plain repartition by date,
     splits a date that holds much of the data; leave it out when each input
     partition already holds few dates.
@@ -52,14 +64,36 @@ def split_by_kind(
     )
     if rebalance:
         rows = rows.hint("rebalance", F.col("kind"), F.col("p_date"))
+    finish_split(spark, path)
+    if layout == PARTITIONS:
+        out = rows.write.partitionBy("kind", "p_date").mode("overwrite")
+        out.option("partitionOverwriteMode", "static").json(path)
+        for kind in kinds:
+            Directory(spark, join(path, f"kind={kind}")).create()
+        spark.catalog.refreshByPath(path)
+        return
+    if layout != MOVED:
+        raise ValueError(f"layout is {MOVED!r} or {PARTITIONS!r}, not {layout!r}")
     staged = staging(spark, path)
     try:
         rows.write.partitionBy("kind", "p_date").json(staged.path)
         for kind in kinds:
-            written = staged.child(f"kind={kind}")
-            written.create()
-            target = Directory(spark, join(path, kind))
-            written.replace(target)
-            spark.catalog.refreshByPath(target.path)
+            staged.child(f"kind={kind}").create()
+        # From this rename on the output is the new one.
+        staged.move_to(Directory(spark, join(path, READY + uuid.uuid4().hex)))
+        finish_split(spark, path)
     finally:
         staged.delete()
+
+
+def finish_split(spark: SparkSession, path: str) -> None:
+    """Move the kinds of a complete output that are not in their places yet."""
+    recover(spark, path)
+    for name in Directory(spark, path).children():
+        if name.startswith(READY):
+            ready = Directory(spark, join(path, name))
+            for child in ready.children():
+                target = Directory(spark, join(path, child.removeprefix("kind=")))
+                ready.child(child).replace(target)
+                spark.catalog.refreshByPath(target.path)
+            ready.delete()

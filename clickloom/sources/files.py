@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.naming import label
 from ..functions.payload import number_timestamps
-from .paths import join
+from .paths import Directory, join
 
 
 def read_weblog(spark: SparkSession, path: str) -> DataFrame:
@@ -42,15 +42,43 @@ def read_user_visits(spark: SparkSession, path: str) -> DataFrame:
 def read_split_events(spark: SparkSession, directory: str, kinds: Sequence[str]) -> DataFrame:
     """Whole lines of the split output of several kinds, with their ``p_date``."""
     schema = T.StructType([*schemas.SPLIT_EVENT.fields, T.StructField("p_date", T.StringType())])
-    sides = [spark.read.schema(schema).json(join(directory, kind)) for kind in kinds]
+    sides = [spark.read.schema(schema).json(kind_dir(spark, directory, k)) for k in kinds]
     return number_timestamps(reduce(DataFrame.unionByName, sides))
 
 
-def read_events_dir(spark: SparkSession, directory: str, kind: str) -> DataFrame:
+def kind_dir(spark: SparkSession, directory: str, kind: str) -> str:
+    """Where the split output has a kind: ``<kind>``, or ``kind=<kind>`` if that is there."""
+    partition = join(directory, f"kind={kind}")
+    return partition if Directory(spark, partition).exists() else join(directory, kind)
+
+
+def kind_items(events: DataFrame, kind: str) -> DataFrame:
+    """``(date, uid, item_id)`` of events of one kind, items named ``kind_item``."""
+    return events.select("date", "uid", label(f"{kind}_", F.col("item_id")).alias("item_id"))
+
+
+def read_events_dir(
+    spark: SparkSession,
+    directory: str,
+    kind: str,
+    dates: Sequence[str] | None = None,
+    since: str | None = None,
+) -> DataFrame:
     """Events of one kind as ``(date, uid, item_id)``, items named ``kind_item``.
 
-    ``date`` is the text inside the rows.  Rows without uid are kept: the
-    newest date of a directory counts them, the matrix drops them.
+    ``date`` is the text inside the rows.  ``dates`` and ``since`` (``yyyyMMdd``)
+    choose by the date directories, so other days are not read.  Rows without
+    uid are kept: the newest date of a directory counts them, the matrix drops
+    them.
     """
-    events = spark.read.schema(schemas.SPLIT_EVENT).json(join(directory, kind))
-    return events.select("date", "uid", label(f"{kind}_", F.col("item_id")).alias("item_id"))
+    events = spark.read
+    if dates is None and since is None:
+        events = events.schema(schemas.SPLIT_EVENT).json(kind_dir(spark, directory, kind))
+        return kind_items(events, kind)
+    schema = T.StructType([*schemas.SPLIT_EVENT.fields, T.StructField("p_date", T.StringType())])
+    events = events.schema(schema).json(kind_dir(spark, directory, kind))
+    if dates is not None:
+        events = events.where(F.col("p_date").isin(list(dates)))
+    if since is not None:
+        events = events.where(F.col("p_date") >= since)
+    return kind_items(events, kind)

@@ -1,15 +1,16 @@
 """Dated matrix snapshots: ``directory/YYYYMMDD``.
 
-The dated directory holds the wide matrix.  Its hidden part ``_counts`` holds
-the same numbers in long form, which the next update reads; table readers skip
-hidden directories.
+The dated directory holds the wide matrix, if there is one.  Its hidden part
+``_counts`` holds the same numbers in long form and per date, which the next
+update reads; table readers skip hidden directories.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.matrix import to_long
+from ..operators.matrix import distinct_values, to_long, to_wide
 from .paths import Directory, join
 
 COUNTS = "_counts"
@@ -26,15 +27,38 @@ def latest_snapshot(spark: SparkSession, directory: str) -> str | None:
 
 
 def read_snapshot(spark: SparkSession, directory: str, date: str) -> DataFrame:
-    """The wide matrix of one date."""
-    return spark.read.parquet(snapshot_path(directory, date))
+    """The wide matrix of one date, made from the long counts if it was not written."""
+    if has_wide(spark, directory, date):
+        return spark.read.parquet(snapshot_path(directory, date))
+    counts = read_snapshot_counts(spark, directory, date, "uid", "item_id")
+    return to_wide(counts, "uid", "item_id", distinct_values(counts, "item_id"))
+
+
+def has_wide(spark: SparkSession, directory: str, date: str) -> bool:
+    return Directory(spark, snapshot_path(directory, date)).has_files(".parquet")
 
 
 def read_snapshot_counts(
     spark: SparkSession, directory: str, date: str, key: str, item: str, n: str = "n"
 ) -> DataFrame:
-    """The long counts of one date, from the wide matrix if none are stored."""
+    """The long counts of one snapshot over all dates."""
+    dated = read_dated_counts(spark, directory, date, key, item, n)
+    return dated.groupBy(key, item).agg(F.sum(n).alias(n))
+
+
+def read_dated_counts(
+    spark: SparkSession, directory: str, date: str, key: str, item: str, n: str = "n"
+) -> DataFrame:
+    """The long counts of one snapshot by event date.
+
+    Counts without a date, those of a snapshot that has the wide matrix only,
+    have the empty text.
+    """
     stored = Directory(spark, join(directory, date, COUNTS))
-    if stored.exists():
-        return spark.read.parquet(stored.path).select(key, item, n)
-    return to_long(read_snapshot(spark, directory, date), key, item, n)
+    if not stored.exists():
+        wide = spark.read.parquet(snapshot_path(directory, date))
+        return to_long(wide, key, item, n).select(key, item, F.lit("").alias("date"), n)
+    counts = spark.read.parquet(stored.path)
+    if "date" not in counts.columns:
+        counts = counts.withColumn("date", F.lit(""))
+    return counts.select(key, item, "date", n)

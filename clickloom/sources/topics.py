@@ -68,6 +68,8 @@ def read_topic_batch(
         if offset != EARLIEST:
             raise ValueError("a text stand-in has no offsets")
         return spark.read.format("text").options(**spec.options).load(spec.path)
+    if offset != EARLIEST and not offset.isdigit():
+        raise ValueError(f"offset {offset!r}: a file topic knows {EARLIEST!r} and numbers")
     messages = spark.read.format(spec.format).schema(ENVELOPE).options(**spec.options)
     messages = messages.load(spec.path)
     if not offset.isdigit():

@@ -90,6 +90,34 @@ def shop_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_payload(shop_events(spark, sf_dir), EVENT.fieldNames())
 
 
+def mixed_messages(spark: SparkSession, sf_dir: str, bad_times: bool = False) -> DataFrame:
+    """The events as messages with fractions: prices in hundredths, times with ``.0``.
+
+    Every other message carries both as text.  With ``bad_times`` every tenth
+    has its time in nanoseconds, as a wrong producer would send it.
+    """
+    k = F.col("event_id")
+    ms = epoch_ms(F.col("ts"))
+    if bad_times:
+        ms = F.when(k % 10 == 3, ms * 1_000_000).otherwise(ms)
+    kind = F.when(F.col("event_type") == "purchase", "buy").otherwise(F.col("event_type"))
+    user = F.when(k % ANONYMOUS_SHOP != 0, F.col("user_id").cast("string"))
+    fields = {
+        "event_type": kind,
+        "item_price": F.col("value").cast("decimal(20,2)").cast("string"),
+        "timestamp": F.concat(ms.cast("string"), F.lit(".0")),
+        "uid": user,
+    }
+    quote = F.when(k % 2 == 0, '"').otherwise("")
+    pairs = [
+        F.when(value.isNotNull(), F.concat(F.lit(f'"{name}":'), around, value, around))
+        for name, value in fields.items()
+        for around in [F.lit('"') if name in ("event_type", "uid") else quote]
+    ]
+    body = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
+    return table(spark, sf_dir, "events").select(body.alias("value"))
+
+
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with gender and age; ages reach below 18 and above 100."""
     key = F.col("c_custkey")

@@ -39,6 +39,17 @@ shop AS (
   FROM (SELECT *, CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) AS k FROM events)
 )"""
 
+MIXED = """
+mixed AS (
+  SELECT CASE event_type WHEN 'purchase' THEN 'buy' ELSE event_type END AS event_type,
+         CAST(value AS DECIMAL(20,2)) AS price,
+         event_id % 10 = 3 AS bad,
+         epoch_us(ts) // 1000 AS timestamp,
+         CASE WHEN event_id % 17 <> 0 THEN CAST(user_id AS VARCHAR) END AS uid,
+         strftime(ts, '%Y%m%d') AS date
+  FROM events
+)"""
+
 CLIENTS = """
 clients AS (
   SELECT CAST(c_custkey AS VARCHAR) AS uid,
@@ -269,6 +280,88 @@ ORACLES: dict[str, str] = {
     ),
     "decode_events": EVENT_SELECT,
     "topic_stream_rows": EVENT_SELECT,
+    "decode_events_job": with_(
+        MIXED,
+        """
+        SELECT event_type, CAST(price AS DOUBLE) AS item_price, timestamp, uid FROM mixed""",
+    ),
+    "events_one_date": with_(
+        SHOP,
+        f"""
+        SELECT date, uid, {ITEM_NAME} AS item_id
+        FROM shop WHERE event_type IN ('view', 'buy') AND date = '20240120'""",
+    ),
+    "split_with_bad_times": with_(
+        MIXED,
+        """
+        SELECT event_type, CASE WHEN NOT bad THEN date END AS date, CAST(count(*) AS BIGINT) AS n
+        FROM mixed WHERE event_type IN ('view', 'buy') GROUP BY 1, 2""",
+    ),
+    "reconcile_bad_times": with_(
+        MIXED,
+        """
+        SELECT event_type, n AS n_sent,
+               CASE WHEN event_type IN ('view', 'buy') THEN n ELSE 0 END AS n_received,
+               event_type IN ('view', 'buy') AS agree
+        FROM (SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM mixed GROUP BY event_type)""",
+    ),
+    "checksums_fractional": with_(
+        MIXED,
+        """
+        SELECT event_type, CAST(count(*) AS BIGINT) AS n_rows,
+               CAST(trunc(sum(price)) AS BIGINT) AS price_checksum
+        FROM mixed GROUP BY event_type""",
+    ),
+    "kpis_fractional_prices": with_(
+        MIXED,
+        """
+        SELECT CAST(b // 1000 AS BIGINT) AS start_ts, CAST(b // 1000 + 3600 AS BIGINT) AS end_ts,
+               revenue, visitors, purchases,
+               CASE WHEN purchases > 0 THEN CAST(revenue AS DOUBLE) / purchases END AS aov
+        FROM (SELECT timestamp - timestamp % 3600000 AS b,
+                     CAST(trunc(sum(CASE WHEN event_type = 'buy' THEN price ELSE 0 END)) AS BIGINT)
+                       AS revenue,
+                     CAST(count(uid) AS BIGINT) AS visitors,
+                     CAST(count(*) FILTER (event_type = 'buy') AS BIGINT) AS purchases
+              FROM mixed WHERE NOT bad GROUP BY 1)""",
+    ),
+    "kpi_messages_shifted": kpis("timestamp - (timestamp - 5400000) % 7200000", 7_200_000),
+    "stopped_streams": "SELECT CAST(2 AS BIGINT) AS n_stopped, CAST(0 AS BIGINT) AS n_left",
+    "job_options": """
+        SELECT n_name AS name, row_number() OVER (ORDER BY n_name) - 1 AS value FROM nation
+        UNION ALL SELECT 'missing', -1""",
+    "domain_hosts": with_(
+        WEBLOG,
+        """
+        SELECT event_id, lower(domain) AS port_strict, lower(domain) AS port_lenient,
+               '[2001:db8::' || (event_id % 10) || ']' AS address_strict,
+               '[2001:db8::' || (event_id % 10) || ']' AS address_lenient,
+               CAST(NULL AS VARCHAR) AS underscore_strict, 'a_b.' || domain AS underscore_lenient
+        FROM weblog""",
+    ),
+    "users_items_late_batch": with_(SHOP, " " + ITEM_MATRIX),
+    "users_items_rerun": with_(SHOP, " " + ITEM_MATRIX),
+    "users_items_added": with_(
+        SHOP,
+        f"""
+        SELECT uid, {ITEM_NAME} AS item_id,
+               CAST(sum(CASE WHEN date >= '20240120' THEN 2 ELSE 1 END) AS BIGINT) AS n
+        FROM shop WHERE uid IS NOT NULL AND event_type IN ('view', 'buy') GROUP BY 1, 2""",
+    ),
+    "users_items_long_only": with_(
+        SHOP,
+        f"""
+        SELECT uid, {ITEM_NAME} AS item_id, CAST(count(*) AS BIGINT) AS n
+        FROM shop WHERE uid IS NOT NULL AND event_type IN ('view', 'buy') GROUP BY 1, 2""",
+    ),
+    "item_maps": with_(
+        SHOP,
+        f"""
+        SELECT uid, string_agg(item || '=' || n, ',' ORDER BY item) AS items
+        FROM (SELECT uid, {ITEM_NAME} AS item, count(*) AS n
+              FROM shop WHERE uid IS NOT NULL AND event_type IN ('view', 'buy') GROUP BY 1, 2)
+        GROUP BY uid""",
+    ),
     "encode_events": with_(
         SHOP,
         """

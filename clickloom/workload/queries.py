@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from .. import schemas
+from ..functions import decode_events as decode_shop_events
 from ..functions import (
     age_bucket,
     decode_payload,
@@ -19,20 +20,29 @@ from ..functions import (
     encode_payload,
     event_date,
     label,
+    price,
     unescape_url,
     visit_indicators,
 )
-from ..plans import feature_table, kpi_messages, pinned_visits, split_events, stream_kpis
+from ..plans import (
+    feature_table,
+    job_conf,
+    kpi_messages,
+    pinned_visits,
+    split_events,
+    stream_kpis,
+)
 from ..plans.features import visit_domains
 from ..plans.mart import shop_matrix as pinned_shop_matrix
 from ..plans.users_items import update_users_items
 from ..sinks import SinkSpec, split_by_kind, write_ranked, write_snapshot, write_table
-from ..sinks.split import KINDS
+from ..sinks.split import KINDS, PARTITIONS, dated_events
 from ..sources import (
     SourceSpec,
     TopicSpec,
     latest_snapshot,
     read_events_dir,
+    read_snapshot_counts,
     read_segment,
     read_snapshot,
     read_split_events,
@@ -41,8 +51,9 @@ from ..sources import (
     read_topic_stream,
     read_weblog,
 )
-from ..sources.paths import join, scratch_dir
-from ..streaming import AVAILABLE_NOW, read_updates, write_topic_stream
+from ..sources.files import kind_items
+from ..sources.paths import join, pinned, scratch_dir
+from ..streaming import AVAILABLE_NOW, read_updates, stop_streams, write_topic_stream
 from . import derive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +62,7 @@ QUERIES: dict[str, Query] = {}
 
 VECTOR_SIZE = 10
 SPLIT_DATE = "20240120"
+LATER_DATE = "20240125"
 TOPIC_PARTITIONS = 3
 TOPIC_OFFSET = 100
 
@@ -171,6 +183,26 @@ def domain_variants(spark, sf_dir):
     )
 
 
+@query
+def domain_hosts(spark, sf_dir):
+    """Hosts that tell the parsers apart: upper case, port, user info, underscores, addresses."""
+    host = domain_of(F.col("url"))
+    address = F.concat(F.lit("[2001:db8::"), F.col("event_id") % 10, F.lit("]"))
+    urls = {
+        "port": F.concat(F.lit("http://Us:er@www."), F.upper(host), F.lit(":8080/a?b#c")),
+        "address": F.concat(F.lit("https://"), address, F.lit(":80/")),
+        "underscore": F.concat(F.lit("http://a_b."), host, F.lit("/x y")),
+    }
+    return derive.weblog(spark, sf_dir).select(
+        "event_id",
+        *(
+            domain_of(url, parser=parser, lower=True).alias(f"{name}_{parser}")
+            for name, url in urls.items()
+            for parser in ("strict", "lenient")
+        ),
+    )
+
+
 @query
 def age_buckets(spark, sf_dir):
     age = F.col("age")
@@ -204,9 +236,8 @@ def event_dates(spark, sf_dir):
 def max_event_date(spark, sf_dir):
     """Newest date, as the single row an output path is named after."""
     events = derive.shop_events(spark, sf_dir)
-    return events.select(event_date(F.col("timestamp")).alias("date")).agg(
-        F.max("date").alias("newest")
-    )
+    newest = op.max_event_date(events.select(event_date(F.col("timestamp")).alias("date")))
+    return spark.createDataFrame([(newest,)], "newest string")
 
 
 @query
@@ -223,6 +254,15 @@ def decode_events(spark, sf_dir):
     return decode_payload(derive.shop_messages(spark, sf_dir), schemas.EVENT)
 
 
+@query
+def decode_events_job(spark, sf_dir):
+    """The decoding the jobs use, over messages with numbers and with numbers as text."""
+    messages = derive.mixed_messages(spark, sf_dir)
+    return decode_shop_events(messages).select(
+        "event_type", price(F.col("item_price")).cast("double").alias("item_price"), "timestamp", "uid"
+    )
+
+
 @query
 def encode_events(spark, sf_dir):
     return encode_payload(
@@ -276,6 +316,39 @@ def events_dir(spark, sf_dir):
     return read_events_dir(spark, path, "view").unionByName(read_events_dir(spark, path, "buy"))
 
 
+@query
+def events_one_date(spark, sf_dir):
+    """One day of both kinds, read from its date directories only."""
+    path = join(scratch_dir(spark), "visits")
+    split_by_kind(derive.shop_events(spark, sf_dir), path, layout=PARTITIONS)
+    days = [read_events_dir(spark, path, kind, dates=[SPLIT_DATE]) for kind in KINDS]
+    return days[0].unionByName(days[1])
+
+
+@query
+def split_with_bad_times(spark, sf_dir):
+    """Messages whose times are in the wrong unit: their date is unreadable, none is lost."""
+    path = join(scratch_dir(spark), "visits")
+    split_by_kind(decode_shop_events(derive.mixed_messages(spark, sf_dir, bad_times=True)), path)
+    lines = read_split_events(spark, path, KINDS)
+    return lines.groupBy("event_type", "date").agg(F.count("*").alias("n"))
+
+
+@query
+def reconcile_bad_times(spark, sf_dir):
+    """The same messages sent and received, per kind."""
+    sent = decode_shop_events(derive.mixed_messages(spark, sf_dir, bad_times=True))
+    path = join(scratch_dir(spark), "visits")
+    split_by_kind(sent, path)
+    return op.reconcile(sent, read_split_events(spark, path, KINDS))
+
+
+@query
+def checksums_fractional(spark, sf_dir):
+    """Price sums over prices with fractions, as numbers and as text."""
+    return op.kind_checksums(decode_shop_events(derive.mixed_messages(spark, sf_dir)))
+
+
 @query
 def kind_checksums(spark, sf_dir):
     return op.kind_checksums(derive.shop_events(spark, sf_dir))
@@ -316,6 +389,49 @@ def kpi_messages_batch(spark, sf_dir):
     return decode_payload(out, schemas.KPI)
 
 
+@query
+def kpis_fractional_prices(spark, sf_dir):
+    """KPIs over prices and times with fractions, as numbers and as text; some times are bad."""
+    messages = derive.mixed_messages(spark, sf_dir, bad_times=True)
+    return decode_payload(kpi_messages(messages, "kpis"), schemas.KPI)
+
+
+@query
+def kpi_messages_shifted(spark, sf_dir):
+    """The job's windows aligned to half past the hour."""
+    out = kpi_messages(derive.shop_messages(spark, sf_dir), "kpis", "2 hours", start=5_400_000)
+    return decode_payload(out, schemas.KPI)
+
+
+@query
+def stopped_streams(spark, sf_dir):
+    """Two streams over the messages, started and stopped; what each was reading."""
+    topic = _message_topic(spark, sf_dir)
+    for name in ("one", "two"):
+        sink = TopicSpec(name, "parquet", path=join(scratch_dir(spark), name))
+        source = read_topic_stream(spark, topic).select("value", F.lit(name).alias("topic"))
+        checkpoint = join(scratch_dir(spark), "checkpoint")
+        write_topic_stream(source, sink, checkpoint, "0 seconds").processAllAvailable()
+    stopped = [(i, topic.path.rpartition("/")[2] in s) for i, s in enumerate(stop_streams(spark))]
+    left = len(spark.streams.active)
+    rows = spark.createDataFrame(stopped, "place int, of_topic boolean")
+    return rows.agg(F.count_if("of_topic").alias("n_stopped"), F.lit(left).cast("bigint").alias("n_left"))
+
+
+@query
+def job_options(spark, sf_dir):
+    """Options set from the nations, read back with their types."""
+    names = [r["n_name"] for r in derive.table(spark, sf_dir, "nation").orderBy("n_name").collect()]
+    options = {}
+    for i, name in enumerate(names):
+        spark.conf.set(f"spark.nations.{name}", str(i))
+        options[name] = (int, None)
+    found = job_conf(spark, "spark.nations", options | {"missing": (int, -1)})
+    for name in names:
+        spark.conf.unset(f"spark.nations.{name}")
+    return spark.createDataFrame(sorted(found.items()), "name string, value bigint")
+
+
 @query
 def hourly_kpis_stream(spark, sf_dir):
     """The whole streaming job on files; last revision per window."""
@@ -408,13 +524,9 @@ def table_source(spark, sf_dir):
 
 def _kind_items(spark, sf_dir) -> DataFrame:
     """``(date, uid, item_id)`` of views and buys, items named by kind."""
-    events = derive.shop_events(spark, sf_dir)
-    shop = events.where(F.col("event_type").isin("view", "buy"))
-    return shop.select(
-        event_date(F.col("timestamp")).alias("date"),
-        "uid",
-        F.concat("event_type", label("_", F.col("item_id"))).alias("item_id"),
-    )
+    dated = dated_events(derive.shop_events(spark, sf_dir))
+    view, buy = (kind_items(dated.where(F.col("event_type") == kind), kind) for kind in KINDS)
+    return view.unionByName(buy)
 
 
 @query
@@ -470,6 +582,66 @@ def users_items_update(spark, sf_dir):
     return read_snapshot(spark, snapshots, latest_snapshot(spark, snapshots))
 
 
+def _dated_parts(spark, sf_dir, cuts: list[str]) -> list[DataFrame]:
+    """The shop events by date ranges between the cuts, the earliest first."""
+    events = derive.shop_events(spark, sf_dir)
+    date = event_date(F.col("timestamp"))
+    bounds = ["00000000", *cuts, "99999999"]
+    return [events.where((date >= a) & (date < b)) for a, b in zip(bounds, bounds[1:])]
+
+
+def _update_all(spark, parts: list[DataFrame], **options) -> str:
+    scratch = scratch_dir(spark)
+    snapshots = join(scratch, "users-items")
+    for i, part in enumerate(parts):
+        split_by_kind(part, join(scratch, f"part-{i}"))
+        update_users_items(spark, join(scratch, f"part-{i}"), snapshots, **options)
+    return snapshots
+
+
+@query
+def users_items_late_batch(spark, sf_dir):
+    """The middle days come last; the newest snapshot has all of them."""
+    early, late, newest = _dated_parts(spark, sf_dir, [SPLIT_DATE, LATER_DATE])
+    snapshots = _update_all(spark, [early, newest, late])
+    return read_snapshot(spark, snapshots, latest_snapshot(spark, snapshots))
+
+
+@query
+def users_items_rerun(spark, sf_dir):
+    """The second batch is merged twice: its days replace what they were."""
+    early, late = _dated_parts(spark, sf_dir, [SPLIT_DATE])
+    snapshots = _update_all(spark, [early, late, late])
+    return read_snapshot(spark, snapshots, latest_snapshot(spark, snapshots))
+
+
+@query
+def users_items_added(spark, sf_dir):
+    """The second batch is merged twice and added: its counts double."""
+    early, late = _dated_parts(spark, sf_dir, [SPLIT_DATE])
+    snapshots = _update_all(spark, [early, late, late], same_date="add", wide=False)
+    newest = latest_snapshot(spark, snapshots)
+    return read_snapshot_counts(spark, snapshots, newest, "uid", "item_id")
+
+
+@query
+def users_items_long_only(spark, sf_dir):
+    """Two updates without the wide form, which has no limit on the items."""
+    snapshots = _update_all(spark, _dated_parts(spark, sf_dir, [SPLIT_DATE]), wide=False)
+    newest = latest_snapshot(spark, snapshots)
+    return read_snapshot_counts(spark, snapshots, newest, "uid", "item_id")
+
+
+@query
+def item_maps(spark, sf_dir):
+    """Counts as one map per user, given as text."""
+    counts = op.count_long(_kind_items(spark, sf_dir), "uid", "item_id")
+    cells = F.transform(
+        F.map_entries("items"), lambda e: F.concat(e["key"], F.lit("="), e["value"])
+    )
+    return op.count_map(counts, "uid", "item_id").select("uid", F.array_join(cells, ",").alias("items"))
+
+
 @query
 def snapshot_roundtrip(spark, sf_dir):
     """Two dated snapshots, one replaced; the newest is picked and read."""
@@ -505,7 +677,7 @@ def _as_text(df: DataFrame) -> DataFrame:
 @query
 def domain_vector(spark, sf_dir):
     """Vectors over the ten most visited domains, array joined to text."""
-    visits = _visits(spark, sf_dir)
+    visits = pinned(_visits(spark, sf_dir), scratch_dir(spark))
     vocab = op.vocabulary(visits, "domain", VECTOR_SIZE)
     return _as_text(op.count_vector(visits, "uid", "domain", vocab))
 
@@ -513,7 +685,7 @@ def domain_vector(spark, sf_dir):
 @query
 def domain_vector_large_vocabulary(spark, sf_dir):
     """The same vectors by the way taken when the vocabulary exceeds a broadcast."""
-    visits = _visits(spark, sf_dir)
+    visits = pinned(_visits(spark, sf_dir), scratch_dir(spark))
     vocab = op.vocabulary(visits, "domain", VECTOR_SIZE)
     return _as_text(op.count_vector(visits, "uid", "domain", vocab, broadcast_bytes=0))
 

@@ -165,3 +165,26 @@ def test_windows_partition_the_events(spark, length):
     events = [event(START + rng.randrange(50 * HOUR), "buy", 1) for _ in range(200)]
     kpis = window_kpis(frame(spark, events), length)
     assert sum(r.purchases for r in kpis.collect()) == 200
+
+
+def test_bad_times_do_not_stop_the_stream(spark, tmp_path):
+    """A time in nanoseconds is unreadable; the stream goes on, also after a restart."""
+    source = TopicSpec("in", "text", path=str(tmp_path / "in"))
+    sink = TopicSpec("out", "parquet", path=str(tmp_path / "out"))
+    total = 0
+    for i, at in enumerate((START, START * 1_000_000, START + 1)):
+        line = json.dumps({"event_type": "buy", "item_price": "1.5", "timestamp": at, "uid": "u"})
+        spark.createDataFrame([(line,)], "value string").write.mode("append").text(source.path)
+        running = stream_kpis(spark, source, sink, str(tmp_path / "check"), trigger=AVAILABLE_NOW)
+        running.awaitTermination()
+        total += i != 1
+        updates = decode_payload(read_updates(spark, sink), schemas.KPI, keep=["batch_id"])
+        assert [(r.purchases, r.revenue) for r in latest_kpis(updates).collect()] == [(total, total * 3 // 2)]
+
+
+def test_window_lengths():
+    from clickloom.operators.kpis import _length_ms
+
+    assert _length_ms("1 week") == 7 * 24 * HOUR
+    assert _length_ms("90 minutes 30 seconds") == 5_430_000
+    assert _length_ms("interval 2 hours") == 2 * HOUR

@@ -4,6 +4,7 @@ import random
 import pytest
 
 from clickloom.operators import (
+    count_map,
     count_long,
     count_matrix,
     distinct_values,
@@ -126,3 +127,10 @@ def test_max_event_date(spark):
     df = spark.createDataFrame([("20200430",), ("20200501",), (None,)], "date string")
     assert max_event_date(df) == "20200501"
     assert max_event_date(df.where("date is null")) is None
+
+
+def test_items_that_differ_in_case_only_are_refused(spark):
+    df = spark.createDataFrame([("u", "X"), ("u", "x")], "uid string, item string")
+    with pytest.raises(ValueError, match="'X' and 'x'"):
+        count_matrix(df, "uid", "item")
+    assert count_map(count_long(df, "uid", "item"), "uid", "item").head()["items"] == {"X": 1, "x": 1}

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom import operators as op
+from clickloom.operators import lookups
 from clickloom.workload import QUERIES, derive
 
 SF = "/root/testdata/sf0.001"
@@ -81,7 +82,7 @@ def test_wide_matrix_shuffles_sparse_counts_only(spark):
 
 @pytest.mark.parametrize(
     "name",
-    [n for n in QUERIES if n not in {"hourly_kpis_stream", "topic_stream_rows"}],
+    [n for n in QUERIES if n not in {"hourly_kpis_stream", "topic_stream_rows", "stopped_streams"}],
 )
 def test_no_python_workers_and_no_product_joins(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
@@ -100,3 +101,19 @@ def test_hot_user_is_reduced_before_the_shuffle(spark):
     assert "partial_count(1)" in before
     vector = op.count_vector(hot, "uid", "domain", [f"d{i}" for i in range(7)])
     assert sum(vector.where("uid = 'hot'").first()["domain_features"]) == 10_000
+
+
+def test_only_lookup_rows_of_hot_keys_are_repeated(spark):
+    facts = spark.range(30_000).selectExpr("if(id % 3 = 0, 7, id) AS key", "id AS uid", "1 AS n")
+    lookup = spark.range(1000).selectExpr("id AS key", "id * 2 AS twice")
+    hot = lookups.hot_keys(facts, "key")
+    assert hot == [7]
+    assert lookups.parts_of(lookup, "key", hot, 16).count() == 1000 + 15
+    joined = lookups.salted_join(facts, lookup, "key", "inner", spread=["uid"], salts=16)
+    expected = facts.join(lookup, "key")
+    assert sorted(joined.collect()) == sorted(expected.select(joined.columns).collect())
+
+
+def test_wide_counts_read_the_source_once(spark):
+    plan = plan_of(QUERIES["users_items_wide"](spark, SF))
+    assert "events.parquet" not in plan and "clickloom-" in plan

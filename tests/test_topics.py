@@ -5,9 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom import schemas
+from clickloom.schemas import EVENT
 from clickloom.operators import kind_checksums, reconcile
 from clickloom.plans import split_events
 from clickloom.sinks import split_by_kind
+from clickloom.sinks.split import finish_split
 from clickloom.sources import (
     TopicSpec,
     read_events_dir,
@@ -147,3 +149,36 @@ def test_split_schema_is_declared(spark, tmp_path):
     assert types["p_date"] == types["date"] == types["item_price"] == "string"
     assert types["timestamp"] == "bigint"
     assert set(types) == {*schemas.SPLIT_EVENT.fieldNames(), "p_date"}
+
+
+def test_split_is_finished_by_the_next_writer(spark, tmp_path):
+    """A writer died after its first move: the other kind is still the old one."""
+    old = spark.createDataFrame([("c", "view", "old", 1, 0, "u"), ("c", "buy", "old", 1, 0, "u")], EVENT)
+    new = spark.createDataFrame([("c", "view", "new", 1, 0, "u"), ("c", "buy", "new", 1, 0, "u")], EVENT)
+    split_by_kind(new, str(tmp_path / "fresh"))
+    split_by_kind(old, str(tmp_path / "out"))
+    ready = tmp_path / "out" / "_ready-1"
+    ready.mkdir()
+    (tmp_path / "fresh" / "buy").rename(ready / "kind=buy")
+    finish_split(spark, str(tmp_path / "out"))
+    lines = read_split_events(spark, str(tmp_path / "out"), ("view", "buy"))
+    assert {(r.event_type, r.item_id) for r in lines.collect()} == {("view", "old"), ("buy", "new")}
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["buy", "view"]
+
+
+def test_partition_layout_needs_no_move(spark, tmp_path):
+    events = spark.createDataFrame([("c", "view", "a", 1, 0, "u"), ("c", "view", "a", 1, None, "u")], EVENT)
+    split_by_kind(events, str(tmp_path / "out"), layout="partitions")
+    split_by_kind(events, str(tmp_path / "out"), layout="partitions")
+    lines = read_split_events(spark, str(tmp_path / "out"), ("view", "buy"))
+    assert sorted((r.date, r.p_date) for r in lines.collect() if r.date) == [("19700101", "19700101")]
+    assert lines.count() == 2
+    with pytest.raises(ValueError, match="layout"):
+        split_by_kind(events, str(tmp_path / "out"), layout="other")
+
+
+def test_unknown_offset_is_an_error(spark, tmp_path):
+    topic = TopicSpec("t", "parquet", path=str(tmp_path))
+    for offset in ("latest", "earlyest", "-1"):
+        with pytest.raises(ValueError, match="offset"):
+            read_topic_batch(spark, topic, offset)
