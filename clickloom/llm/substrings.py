@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import suffixes
 from .backoff import NO_ID, pack, postings, unpack
-from .common import binaries, blocks, byte_spans, prefix_hashes, release, sliding_min, texts, work_dir
+from .common import binaries, blocks, byte_spans, mix, prefix_hashes, release, sliding_min, texts, work_dir
 
 SIZE = 50
 MINIMIZER = 16
@@ -62,7 +62,8 @@ def _send(batches, size: int, buckets: int):
         for low, high in blocks(offsets, BLOCK_BYTES):
             at = offsets[low : high + 1]
             value, row, _, _ = segments(data[at[0] : at[-1]], at - at[0], size)
-            bucket = ((value >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            # A minimizer is a minimum, mostly a small number: spread it first.
+            bucket = ((mix(value) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             order = np.argsort(bucket.astype(np.uint32), kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             packed = pack(np.diff(ids[low:high], prepend=0).view(np.uint64))
