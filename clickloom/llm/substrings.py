@@ -44,14 +44,15 @@ def segments(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
         return empty.astype(np.uint64), empty, empty, empty
     least = sliding_min(prefix_hashes(data, run), size - run + 1)
     # Windows that lie in one row.
-    starts = np.concatenate([np.arange(a, b - size + 1) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()) if b - a >= size] or [np.zeros(0, np.int64)])
-    row = np.searchsorted(offsets, starts, "right") - 1
+    windows = np.maximum(np.diff(offsets) - size + 1, 0)
+    row = np.repeat(np.arange(len(windows), dtype=np.int32), windows)
+    starts = np.arange(len(row)) + np.repeat(offsets[:-1] - np.cumsum(windows) + windows, windows)
     value = least[starts]
     new = np.ones(len(starts), bool)
     new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts))[: len(first)] - 1
-    return value[first], row[first], starts[first], starts[last] + size
+    return value[first], row[first].astype(np.int64), starts[first], starts[last] + size
 
 
 def _send(batches, size: int, buckets: int):
@@ -164,8 +165,9 @@ def _shard_owners(own: np.ndarray, data: np.ndarray, low: np.ndarray, high: np.n
     at = np.arange(lengths.sum())
     before = np.cumsum(lengths) - lengths
     text[at + np.repeat(begin - before, lengths)] = data[at + np.repeat(low[own] - before, lengths)]
+    segment_of = np.repeat(np.arange(len(own), dtype=np.int32), lengths + 1)
     for places, group in suffixes.repeated(text, size):
-        segment = np.searchsorted(begin, places, "right") - 1
+        segment = segment_of[places]
         inside = places - begin[segment]
         whole = inside < windows[own[segment]]
         segment, inside, group = own[segment[whole]], inside[whole], group[whole]

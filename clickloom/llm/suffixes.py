@@ -27,6 +27,13 @@ QUEUE_TUPLES = 4_000_000
 BASE_NAMES = 16_000_000
 
 
+def stable_order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of keys that are no negative numbers; small ones are sorted by digits."""
+    top = int(keys.max(initial=0))
+    narrow = np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.int64
+    return np.argsort(keys.astype(narrow), kind="stable")
+
+
 class BucketQueue:
     """Rows of integers by a bucket number, given back a bucket at a time in the order they came.
 
@@ -45,7 +52,7 @@ class BucketQueue:
     def push(self, buckets: np.ndarray, rows: np.ndarray) -> None:
         if not len(buckets):
             return
-        order = np.argsort(buckets, kind="stable")
+        order = stable_order(buckets)
         buckets, rows = buckets[order], rows[order]
         cuts = np.concatenate(([0], np.flatnonzero(buckets[1:] != buckets[:-1]) + 1, [len(buckets)]))
         for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
@@ -122,9 +129,10 @@ class Words8:
         live = np.arange(len(a))
         for k in range(0, depth, 8):
             differ = self(a[live] + k) ^ self(b[live] + k)
-            same = np.full(len(live), 8, np.int64)
-            for byte in range(7, -1, -1):
-                same[differ >= np.uint64(1 << (8 * (7 - byte)))] = np.minimum(same[differ >= np.uint64(1 << (8 * (7 - byte)))], byte)
+            # Equal leading bytes are zero bytes at the top of the difference.
+            same = np.zeros(len(live), np.int64)
+            for byte in range(8):
+                same += differ < np.uint64(1 << (8 * byte))
             out[live] += same
             live = live[same == 8]
         return np.minimum(np.minimum(out, depth), self.n - np.maximum(a, b))
@@ -200,7 +208,7 @@ def _carried(symbols: np.ndarray, at: np.ndarray, shared: np.ndarray, since: dic
     them gave a tuple for which of ``symbols``.  ``since`` has the symbols met in
     this bucket so far.
     """
-    order = np.argsort(symbols, kind="stable")
+    order = stable_order(symbols)
     mine, place = symbols[order], at[order]
     first = np.concatenate(([True], mine[1:] != mine[:-1]))
     before = np.where(first, -1, np.concatenate(([-1], place[:-1])))
