@@ -33,6 +33,8 @@ SEPARATOR = 0xFF  # no byte of UTF-8
 BLOCK_BYTES = 1 << 20
 #: Segments of whole minimizers that are sorted together; a minimizer with more is sorted alone.
 SHARD_BYTES = 1 << 20
+#: Windows of occurrences that are decided at once.
+WINDOWS = 1 << 20
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -122,11 +124,14 @@ def _cut(batches, size: int):
             # A chance hit brings a segment too many, which does no harm.
             use = np.isin(value * np.uint64(0x9E3779B97F4A7C15) + row.astype(np.uint64), pairs)
             value, row, start, end = value[use], row[use], start[use], end[use]
-            _, one, inverse = np.unique(byte_spans(own, start, end), return_index=True, return_inverse=True)
+            key, one, inverse = np.unique(byte_spans(own, start, end), return_index=True, return_inverse=True)
             order = np.argsort(inverse, kind="stable")
             cuts = pa.array(np.searchsorted(inverse[order], np.arange(len(one) + 1)).astype(np.int32))
             lists = [pa.ListArray.from_arrays(cuts, pa.array(x[order])) for x in (ids[low:high][row], contents[low:high][row], start - at[row])]
-            yield pa.RecordBatch.from_arrays([pa.array(value[one].view(np.int64)), binaries(own, start[one], end[one]).cast(pa.binary()), *lists], ["h", "segment", "ids", "contents", "starts"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(value[one].view(np.int64)), pa.array(key.view(np.int64)), binaries(own, start[one], end[one]).cast(pa.binary()), *lists],
+                ["h", "key", "segment", "ids", "contents", "starts"],
+            )
 
 
 def owners(values: np.ndarray, data: np.ndarray, low: np.ndarray, high: np.ndarray, least: np.ndarray, size: int) -> np.ndarray:
@@ -191,7 +196,7 @@ def _resolve(batches, size: int):
     lists = table["ids"].combine_chunks()
     of = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
     ids, contents, starts = (table[c].combine_chunks().flatten().to_numpy() for c in ("ids", "contents", "starts"))
-    _, one, inverse = np.unique(byte_spans(data, bounds[:-1], bounds[1:]), return_index=True, return_inverse=True)
+    _, one, inverse = np.unique(table["key"].to_numpy(), return_index=True, return_inverse=True)
     segment = inverse[of]
     least = np.full(len(one), np.iinfo(np.int64).max)
     np.minimum.at(least, segment, ids)
@@ -199,13 +204,15 @@ def _resolve(batches, size: int):
     owner = owners(value[one], data, low, high, least, size)
     windows = high - low - size + 1
     first = np.cumsum(windows) - windows
-    step = 1 << 16
-    for i in range(0, len(segment), step):
-        own = segment[i : i + step]
+    # Occurrences with about so many windows at once; one with more is taken alone.
+    total = np.cumsum(windows[segment])
+    cuts = np.unique(np.append(np.searchsorted(total, np.arange(0, int(total[-1]) + 1, WINDOWS), "right"), [0, len(segment)]))
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        own = segment[i:j]
         n = windows[own]
         before = np.cumsum(n) - n
         place = np.arange(n.sum()) - np.repeat(before, n)
-        hit = owner[np.repeat(first[own], n) + place] < np.repeat(ids[i : i + step], n)
+        hit = owner[np.repeat(first[own], n) + place] < np.repeat(ids[i:j], n)
         edge = np.concatenate(([False], hit[:-1])) if len(hit) else hit
         opens = hit & (~edge | (place == 0))
         after = np.concatenate((hit[1:], [False])) if len(hit) else hit
@@ -267,7 +274,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sent = searched.select("id", "text").mapInArrow(lambda b: _send(b, size, parts), "bucket int, postings binary, ids binary")
     shared = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_find_shared, "id long, h long")
     known = shared.groupBy("id").agg(F.collect_list("h").alias("shared"))
-    found = searched.join(known, "id").select("id", "content", "text", "shared").mapInArrow(lambda b: _cut(b, size), "h long, segment binary, ids array<long>, contents array<long>, starts array<long>")
+    found = searched.join(known, "id").select("id", "content", "text", "shared").mapInArrow(lambda b: _cut(b, size), "h long, key long, segment binary, ids array<long>, contents array<long>, starts array<long>")
     lost = found.repartition(parts, "h").mapInArrow(lambda b: _resolve(b, size), "id long, content long, start long, end long")
     gone = lost.groupBy("id").agg(F.collect_list(F.struct("content", "start", "end")).alias("gone"))
     joined = table.join(gone, "id", "left").join(copies, "id", "left")
