@@ -124,14 +124,11 @@ def _cut(batches, size: int):
             # A chance hit brings a segment too many, which does no harm.
             use = np.isin(value * np.uint64(0x9E3779B97F4A7C15) + row.astype(np.uint64), pairs)
             value, row, start, end = value[use], row[use], start[use], end[use]
-            key, one, inverse = np.unique(byte_spans(own, start, end), return_index=True, return_inverse=True)
+            _, one, inverse = np.unique(byte_spans(own, start, end), return_index=True, return_inverse=True)
             order = np.argsort(inverse, kind="stable")
             cuts = pa.array(np.searchsorted(inverse[order], np.arange(len(one) + 1)).astype(np.int32))
             lists = [pa.ListArray.from_arrays(cuts, pa.array(x[order])) for x in (ids[low:high][row], contents[low:high][row], start - at[row])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(value[one].view(np.int64)), pa.array(key.view(np.int64)), binaries(own, start[one], end[one]).cast(pa.binary()), *lists],
-                ["h", "key", "segment", "ids", "contents", "starts"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(value[one].view(np.int64)), binaries(own, start[one], end[one]).cast(pa.binary()), *lists], ["h", "segment", "ids", "contents", "starts"])
 
 
 def owners(values: np.ndarray, data: np.ndarray, low: np.ndarray, high: np.ndarray, least: np.ndarray, size: int) -> np.ndarray:
@@ -196,7 +193,8 @@ def _resolve(batches, size: int):
     lists = table["ids"].combine_chunks()
     of = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
     ids, contents, starts = (table[c].combine_chunks().flatten().to_numpy() for c in ("ids", "contents", "starts"))
-    _, one, inverse = np.unique(table["key"].to_numpy(), return_index=True, return_inverse=True)
+    keys = [byte_spans(data[bounds[a] : bounds[b]], bounds[a:b] - bounds[a], bounds[a + 1 : b + 1] - bounds[a]) for a, b in blocks(bounds, BLOCK_BYTES)]
+    _, one, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     segment = inverse[of]
     least = np.full(len(one), np.iinfo(np.int64).max)
     np.minimum.at(least, segment, ids)
@@ -266,7 +264,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     path = work_dir(spark)
     name = f"repeats_{path.rpartition('-')[2]}"
     # Bucketed by id, so that no later join moves a text.
-    rows.write.bucketBy(parts, "id").option("path", path).format("parquet").saveAsTable(name)
+    rows.write.bucketBy(parts, "id").option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name)
     table = spark.table(name)
     first = table.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     copies = table.select("id", "digest", "content").join(first, "digest").where("id > first").groupBy("id").agg(F.collect_set("content").alias("copies"))
@@ -274,7 +272,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sent = searched.select("id", "text").mapInArrow(lambda b: _send(b, size, parts), "bucket int, postings binary, ids binary")
     shared = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_find_shared, "id long, h long")
     known = shared.groupBy("id").agg(F.collect_list("h").alias("shared"))
-    found = searched.join(known, "id").select("id", "content", "text", "shared").mapInArrow(lambda b: _cut(b, size), "h long, key long, segment binary, ids array<long>, contents array<long>, starts array<long>")
+    found = searched.join(known, "id").select("id", "content", "text", "shared").mapInArrow(lambda b: _cut(b, size), "h long, segment binary, ids array<long>, contents array<long>, starts array<long>")
     lost = found.repartition(parts, "h").mapInArrow(lambda b: _resolve(b, size), "id long, content long, start long, end long")
     gone = lost.groupBy("id").agg(F.collect_list(F.struct("content", "start", "end")).alias("gone"))
     joined = table.join(gone, "id", "left").join(copies, "id", "left")
