@@ -102,6 +102,11 @@ def totals(lists: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[
     return distinct, sums, np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])
 
 
+def added(rows: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the weights of each row, also of no rows at all."""
+    return np.bincount(rows, weights, size).astype(np.float64)
+
+
 def bucket_sums(blocks: list[list[bytes]], min_count: int) -> Iterator[pa.RecordBatch]:
     """Each document's share of words, backed-off words and log-scores in one bucket, packed by block."""
     lists = [[unpack(x, 4) for x in row[:3]] for row in blocks]
@@ -117,11 +122,11 @@ def bucket_sums(blocks: list[list[bytes]], min_count: int) -> Iterator[pa.Record
         ids = np.cumsum(unpack(row[3], 1)[0].view(np.int64))
         (_, n_after, docs_after, times_after), (_, n_before, docs_before, times_before) = lists[i][1:]
         place, size = np.repeat(at_after[i], n_after), len(ids)
-        n = np.bincount(docs_after, times_after, size)
-        total = np.bincount(docs_after, gain[place] * times_after, size)
+        n = added(docs_after, times_after, size)
+        total = added(docs_after, gain[place] * times_after, size)
         place = np.repeat(at_before[i], n_before)
-        total += np.bincount(docs_before, fall[place] * times_before, size)
-        backed = np.bincount(docs_before, back[place] * times_before, size)
+        total += added(docs_before, fall[place] * times_before, size)
+        backed = added(docs_before, back[place] * times_before, size)
         sums = pack(n.astype(np.uint32), backed.astype(np.uint32), total)
         # Blocks of the same ids may share a name: their sums would be added in the end anyway.
         name = xxhash.xxh3_128_digest(row[3])

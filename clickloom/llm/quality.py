@@ -48,13 +48,17 @@ def repeats(data: np.ndarray) -> np.ndarray:
 
 
 def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts with at least a chunk of zeros after each, from multiples of ``STEP`` on."""
+    """Texts from multiples of ``STEP`` on, so far apart that no chunk or lag reaches the next.
+
+    Also the first chunk of each text and the one after its last, by turns.
+    """
     sizes = np.diff(offsets)
-    room = -(-sizes // STEP) * STEP + -(-CHUNK // STEP) * STEP
-    low = np.concatenate(([0], np.cumsum(room)))
-    out = np.zeros(low[-1], np.uint8)
-    out[np.arange(len(data)) + np.repeat(low[:-1] - offsets[:-1], sizes)] = data
-    return out, low
+    chunks = np.maximum(-(-sizes // STEP), 1)
+    room = (chunks + -(-max(CHUNK, LAGS) // STEP)) * STEP
+    low = np.cumsum(room) - room
+    out = np.zeros(room.sum(), np.uint8)
+    out[np.arange(len(data)) + np.repeat(low - offsets[:-1], sizes)] = data
+    return out, np.stack([low // STEP, low // STEP + chunks], axis=1).ravel()
 
 
 class Network:
@@ -79,14 +83,16 @@ class Network:
         shape, strides = (n, CHUNK * (WIDTH + 1)), (STEP * (WIDTH + 1) * 4, 4)
         return np.lib.stride_tricks.as_strided(x, shape, strides)
 
-    def answers(self, data: np.ndarray, low: np.ndarray) -> np.ndarray:
+    def answers(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Each filter's largest answer over each text."""
-        return np.maximum.reduceat(self.chunks(data) @ self.filters, low[:-1] // STEP, axis=0) + self.bias
+        return np.maximum.reduceat(self.chunks(data) @ self.filters, bounds, axis=0)[::2] + self.bias
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The probability of label 1 of each text."""
-        data, low = padded(data, offsets)
-        return sigmoid(np.tanh(self.answers(data, low)) @ self.out + self.base + self.prior).astype(np.float64)
+        if len(offsets) < 2:
+            return np.zeros(0)
+        data, bounds = padded(data, offsets)
+        return sigmoid(np.tanh(self.answers(data, bounds)) @ self.out + self.base + self.prior).astype(np.float64)
 
     def learn(self, rows: list[bytes], labels: np.ndarray, steps: int = STEPS, seed: int = SEED) -> None:
         """Adam steps on the log-loss; the largest answers alone pass the slope back."""
@@ -103,11 +109,10 @@ class Network:
                 rate = RATE * max(0.02, 1 - step / steps)
                 own = [rows[i] for i in batch]
                 flat = np.frombuffer(b"".join(own), np.uint8)
-                data, low = padded(flat, np.concatenate(([0], np.cumsum([len(x) for x in own]))))
+                data, bounds = padded(flat, np.concatenate(([0], np.cumsum([len(x) for x in own]))))
                 x = self.chunks(data)
                 y = x @ self.filters
-                bounds = low // STEP
-                best = np.stack([a + y[a:b].argmax(0) for a, b in zip(np.minimum(bounds[:-1], len(y) - 1), np.minimum(bounds[1:], len(y)))])
+                best = np.stack([a + y[a:b].argmax(0) for a, b in bounds.reshape(-1, 2)])
                 hidden = np.tanh(y[best, np.arange(FILTERS)] + self.bias)
                 error = (sigmoid(hidden @ self.out + self.base) - labels[batch]) * weight[batch] / len(batch)
                 back = error[:, None] * self.out * (1 - hidden**2)

@@ -1,0 +1,56 @@
+from collections import Counter
+
+import pyarrow as pa
+
+from clickloom.llm.exact import drop_copies, exact_copies, frequent, misra_gries
+
+
+def brute(rows):
+    groups = {}
+    for i, text in rows:
+        groups.setdefault(text or "", []).append(i)
+    out = []
+    for i, text in rows:
+        ids = groups[text or ""]
+        keep = max((x for x in ids if x is not None), default=None)
+        out.append((i, len(ids), keep, i == keep))
+    return sorted(out, key=repr)
+
+
+def result(df):
+    return sorted(((r.doc_id, r.group_size, r.keep_id, r.kept) for r in df.collect()), key=repr)
+
+
+ROWS = [(1, "a"), (2, "a"), (2, "a"), (3, None), (4, ""), (5, "A"), (None, "a"), (None, "only"), (6, "x" * 200_000), (7, "x" * 200_000), (8, "a ")]
+
+
+def test_groups_with_odd_rows(spark):
+    docs = spark.createDataFrame([(*r, "old", 1) for r in ROWS], "doc_id long, text string, digest string, kept int")
+    for share in (0.001, 0.2, 0.9):
+        assert result(exact_copies(docs, share=share)) == brute(ROWS)
+    assert result(exact_copies(docs.limit(0))) == []
+
+
+def test_one_row_of_each_text_stays_with_its_columns(spark):
+    docs = spark.createDataFrame([(*r, "k") for r in ROWS], "doc_id long, text string, row_key string")
+    left = drop_copies(docs)
+    assert left.columns == docs.columns
+    got = sorted(((r.doc_id, len(r.text or "")) for r in left.collect()), key=repr)
+    assert got == sorted([(2, 1), (4, 0), (5, 1), (None, 4), (7, 200_000), (8, 2)], key=repr)
+    assert drop_copies(docs.limit(0)).collect() == []
+
+
+def test_summaries_bound_the_error():
+    keys = ["hot"] * 400 + [f"k{i}" for i in range(600)]
+    kept = misra_gries((pa.array(keys[i::7]) for i in range(7)), 9)
+    assert len(kept) <= 9
+    assert 400 - 1000 / 10 <= kept["hot"] <= 400
+
+
+def test_frequent_digests_are_exact_and_few(spark):
+    keys = ["h1"] * 3000 + ["h2"] * 1200 + [f"k{i}" for i in range(4000)] + ["rare"] * 30
+    df = spark.createDataFrame([(k,) for k in keys], "digest string").repartition(5)
+    counts = Counter(keys)
+    for share in (0.5, 0.2, 0.1, 0.002):
+        expected = {k: n for k, n in counts.items() if n >= max(2, share * len(keys))}
+        assert {r.digest: r.rows for r in frequent(df, "digest", share).collect()} == expected
