@@ -7,11 +7,15 @@ a word before it.
 Single rows of (n-gram, document) would shuffle many times the text.  A task
 therefore sends each hash bucket one packed row per block of documents: sorted
 n-grams with the documents that hold them and how often.  A bucket owns all
-words of some hash range.  It gets each word's postings and each pair twice, as
+words of some hash range.  It gets each word's count and each pair twice, as
 a continuation of its first word and as a predecessor of its second, so that
 ``c(v)``, ``c(w)`` and ``c(v w)`` meet where they are needed: the bucket counts,
 joins counts and postings, and gives the partial sums of each block's documents,
 packed again.  They are added per block, then per document.
+
+Words are told apart by all 64 bits of their hash.  A row lists the hashes of its
+words and of their neighbours once, and its pairs are places in these two lists;
+the bucket numbers the hashes of all rows and counts pairs of numbers.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ ALPHA = 0.4
 MIN_COUNT = 2
 START = np.uint64(0x6A09E667F3BCC909)
 NO_ID = -(1 << 63)
-# Packed parts of a row: words, pairs by first word, pairs by second word.
+# Packed parts of a row: words and neighbours, pairs by first word, pairs by second word.
 KINDS = ("words", "after", "before")
 
 
@@ -69,37 +73,52 @@ def postings(keys: np.ndarray, rows: np.ndarray) -> bytes:
 
 def block_rows(words: Words, ids: np.ndarray, buckets: int) -> Iterator[tuple[int, list[bytes]]]:
     """(bucket, packed parts and ids) of a block of documents."""
-    first, full = words.first, np.flatnonzero(np.diff(words.first) > 0)
-    before = np.concatenate(([START], words.hash[:-1])) if len(words.hash) else words.hash
-    before[first[:-1][full]] = START
-    marks = np.full(len(full), START)
-    # The owner word gives the bucket and the upper half of a key, the other word the lower half; 0 is none.
-    own = [np.concatenate([words.hash, marks]), before, words.hash]
-    other = [None, words.hash, before]
-    rows = [np.concatenate([words.row, full]), words.row, words.row]
+    n, full = len(words.hash), np.flatnonzero(np.diff(words.first) > 0)
+    if not n:
+        return
+    hashes = np.concatenate([words.hash, np.full(len(full), START)])
+    distinct, place = np.unique(mix(hashes), return_inverse=True)
+    word, mark = place[:n], place[-1]
+    before = np.concatenate(([mark], word[:-1]))
+    before[words.first[:-1][full]] = mark
+    # The upper bits of the owner word's hash give the bucket, so a bucket's words are neighbours in ``distinct``.
     half = np.uint64(32)
+    bucket_of = (((distinct >> half) * np.uint64(buckets)) >> half).astype(np.uint16 if buckets < 1 << 16 else np.uint32)
+    counts = np.bincount(place, minlength=len(distinct)).astype(np.uint32)
+    ends = np.searchsorted(bucket_of, np.arange(buckets + 1))
     parts = []
-    for mine, more, row in zip(own, other, rows, strict=True):
-        spread = mix(mine)
-        key = (spread >> half) << half
-        if more is not None:
-            key |= (mix(more ^ np.uint64(0xA5A5A5A5)) >> half) | np.uint64(1)
-        bucket = ((spread & np.uint64(0xFFFFFFFF)) * np.uint64(buckets)) >> half
-        order = np.argsort(bucket.astype(np.uint16 if buckets < 1 << 16 else np.uint32), kind="stable")
-        parts.append((key[order], row[order], np.searchsorted(bucket[order], np.arange(buckets + 1))))
+    for own, other in ((before, word), (word, before)):
+        bucket = bucket_of[own]
+        order = np.argsort(bucket, kind="stable")
+        parts.append((own[order], other[order], words.row[order], np.searchsorted(bucket[order], np.arange(buckets + 1))))
     packed = pack(np.diff(ids, prepend=0).astype(np.int64).view(np.uint64))
     for i in range(buckets):
-        if any(cuts[i] < cuts[i + 1] for _, _, cuts in parts):
-            yield i, [*(postings(key[cuts[i] : cuts[i + 1]], row[cuts[i] : cuts[i + 1]]) for key, row, cuts in parts), packed]
-
-
-def totals(lists: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct keys of all blocks, their counts, and each block's places among them."""
-    keys = [np.cumsum(x[0]) for x in lists]
+        low, high = ends[i], ends[i + 1]
+        if low == high:
+            continue
+        mine = [(own[cuts[i] : cuts[i + 1]], other[cuts[i] : cuts[i + 1]], row[cuts[i] : cuts[i + 1]]) for own, other, row, cuts in parts]
+        names, at = np.unique(np.concatenate([other for _, other, _ in mine]), return_inverse=True)
+        at = np.split(at, [len(mine[0][0])])
+        lists = pack(np.diff(distinct[low:high], prepend=np.uint64(0)), counts[low:high], np.diff(distinct[names], prepend=np.uint64(0)))
+        yield i, [lists, *(postings(((own - low) * len(names) + x).astype(np.uint64), row) for (own, _, row), x in zip(mine, at, strict=True)), packed]
+
+
+def numbered(lists: list[np.ndarray]) -> tuple[int, list[np.ndarray]]:
+    """How many distinct values the lists have, and the number of each value among these."""
+    distinct, inverse = np.unique(np.concatenate(lists), return_inverse=True)
+    return len(distinct), np.split(inverse.astype(np.uint64), np.cumsum([len(x) for x in lists])[:-1])
+
+
+def totals(lists: list[list[np.ndarray]], own: list[np.ndarray], names: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Owner words of the distinct pairs of all blocks, the pairs' counts, and each block's places among them."""
+    keys = []
+    for x, words, others in zip(lists, own, names, strict=True):
+        first, second = np.divmod(np.cumsum(x[0]), np.uint64(len(others)))
+        keys.append(words[first] << np.uint64(32) | others[second])
     counts = [np.add.reduceat(x[3].astype(np.int64), np.cumsum(x[1], dtype=np.int64) - x[1].astype(np.int64)) if len(x[1]) else np.zeros(0, np.int64) for x in lists]
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     sums = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
-    return distinct, sums, np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])
+    return distinct >> np.uint64(32), sums, np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])
 
 
 def added(rows: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
@@ -109,18 +128,21 @@ def added(rows: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
 
 def bucket_sums(blocks: list[list[bytes]], min_count: int) -> Iterator[pa.RecordBatch]:
     """Each document's share of words, backed-off words and log-scores in one bucket, packed by block."""
-    lists = [[unpack(x, 4) for x in row[:3]] for row in blocks]
-    (words, c_word, _), (after, c_after, at_after), (before, c_before, at_before) = (totals([x[i] for x in lists]) for i in range(3))
-    half = np.uint64(32)
-    owner = lambda keys: c_word[np.searchsorted(words, (keys >> half) << half)]
+    heads = [unpack(row[0], 3) for row in blocks]
+    lists = [[unpack(x, 4) for x in row[1:3]] for row in blocks]
+    size, own = numbered([np.cumsum(words) for words, _, _ in heads])
+    c_word = np.bincount(np.concatenate(own).astype(np.int64), np.concatenate([count for _, count, _ in heads]), size)
+    _, names = numbered([np.cumsum(others) for _, _, others in heads])
+    (after, c_after, at_after), (before, c_before, at_before) = (totals([x[i] for x in lists], own, names) for i in range(2))
     seen = c_after >= min_count
-    gain = np.where(seen, np.log(c_after) - np.log(owner(after)), 0.0)
+    gain = np.where(seen, np.log(c_after) - np.log(c_word[after]), 0.0)
     back = c_before < min_count
-    fall = np.where(back, np.log(owner(before)), 0.0)
+    fall = np.where(back, np.log(c_word[before]), 0.0)
+    del heads, own, names
     release()
     for i, row in enumerate(blocks):
         ids = np.cumsum(unpack(row[3], 1)[0].view(np.int64))
-        (_, n_after, docs_after, times_after), (_, n_before, docs_before, times_before) = lists[i][1:]
+        (_, n_after, docs_after, times_after), (_, n_before, docs_before, times_before) = lists[i]
         place, size = np.repeat(at_after[i], n_after), len(ids)
         n = added(docs_after, times_after, size)
         total = added(docs_after, gain[place] * times_after, size)

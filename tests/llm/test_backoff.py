@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from clickloom.llm.backoff import backoff_scores, pack, unpack
+from clickloom.llm.common import byte_spans, mix
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -63,3 +64,27 @@ def test_packing_gives_arrays_back():
     arrays = [np.arange(5, dtype=np.uint64), np.zeros(0, np.uint32), np.array([1.5, -2.0])]
     a, b, c = unpack(pack(*arrays), 3)
     assert a.tolist() == [0, 1, 2, 3, 4] and len(b) == 0 and c.view(np.float64).tolist() == [1.5, -2.0]
+
+
+def alike(words, values):
+    """Two of the words with equal values."""
+    order = np.argsort(values, kind="stable")
+    i = np.flatnonzero(np.diff(values[order]) == 0)[0]
+    return words[order[i]], words[order[i + 1]]
+
+
+def test_words_with_equal_hash_halves_are_not_merged(spark):
+    words = [f"{i:06d}" for i in range(400_000)]
+    at = np.arange(len(words))
+    hashes = byte_spans(np.frombuffer("".join(words).encode(), np.uint8), 6 * at, 6 * at + 6)
+    half = np.uint64(32)
+    # Salted as other words of a pair once were, and plain; by upper and by lower half.
+    pairs = [alike(words, x >> half | np.uint64(1)) for x in (mix(hashes ^ np.uint64(0xA5A5A5A5)), mix(hashes))]
+    pairs += [alike(words, mix(hashes) >> half), alike(words, mix(hashes) & np.uint64(0xFFFFFFFF))]
+    rows = []
+    for a, b in pairs:
+        assert a != b
+        rows += [f"the {a}", f"the {b}", f"{a} end", f"{b} end"]
+    rows = list(enumerate(rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(backoff_scores(docs), brute(rows))
