@@ -235,8 +235,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows linked with a row, copies among them.  ``class_id`` is the smallest id
     of the rows that links lead to, directly or over others.  Words are those of
     ``common.Words``; a text of fewer words is one shingle.  A row without words
-    (a null or empty text) has no link and its own id as class.  A null id is no
-    class id while there is another.  An empty table gives no row; other columns
+    (a null or empty text) has no link and its own id as class.  Rows
+    without an id are linked as others are, but a null id is no class id while
+    there is another.  An empty table gives no row; other columns
     are ignored.
     """
     depth = prefix_length(threshold, trees, longest, recall)
@@ -250,9 +251,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # The side to keep grows with the input: never a broadcast, whatever its size now.
     wanted = members.select("rep").distinct().hint("merge")
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(wanted, "rep", "left_semi")
-    sets = full_sets(texts, "rep", "text", size)
+    named = full_sets(texts, "rep", "text", size).withColumn("nameless", F.lit(False))
+    # Where no row of a class has an id, any of its rows gives the set.
+    others = full_sets(docs.where(F.col(id_col).isNull()), id_col, text_col, size).groupBy("set_key").agg(F.first("shingles").alias("shingles"))
+    sets = named.unionByName(others.withColumn("nameless", F.lit(True)))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tasks = members.join(sets, "set_key").select("set_key", "label", "block", "size", "nodes", "shingles", other)
+    tasks = members.withColumn("nameless", F.col("rep").isNull()).join(sets, ["set_key", "nameless"]).select("set_key", "label", "block", "size", "nodes", "shingles", other)
     low, high = F.least("block", "other"), F.greatest("block", "other")
     sized = tasks.select(F.xxhash64("label", low, high).alias("task"), low.alias("low"), "block", "set_key", "size", "nodes", "shingles").repartition("task").sortWithinPartitions("task")
     found = pin(sized.mapInArrow(lambda batches: _tasks(batches, threshold), "set_key binary, links long, root binary"))

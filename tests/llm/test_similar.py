@@ -86,3 +86,15 @@ def test_prefix_is_shortened_until_the_recall():
     assert prefix_length(0.8, 16, 8, 0.999) == 4
     assert prefix_length(0.8, 16, 3, 0.999) == 3
     assert prefix_length(0.1, 2, 8, 0.99) == 1
+
+
+def test_near_copies_without_an_id_keep_their_links(spark):
+    base = {c: [f"{c}{i}" for i in range(60)] for c in "pq"}
+    changed = lambda c, at: " ".join([*base[c][:at], "new", *base[c][at + 1 :]])
+    rows = [(1, " ".join(base["p"])), (None, changed("p", 59)), (None, changed("p", 59)), (2, changed("p", 0)), (None, " ".join(base["q"])), (None, changed("q", 59)), (3, "alone"), (None, "alone too")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute([(i, text) for i, (_, text) in enumerate(rows)])
+    got = near_copies(docs).select("doc_id", "class_id", "n_links", "group_size").collect()
+    named = [(1, 1), (None, 1), (None, 1), (2, 1), (None, None), (None, None), (3, 3), (None, None)]
+    order = lambda x: tuple(-1 if v is None else v for v in x)
+    assert sorted(map(tuple, got), key=order) == sorted(((*name, *expected[i][1:]) for i, name in enumerate(named)), key=order)
