@@ -1,11 +1,13 @@
-"""N-gram Jaccard join by a MinHash LSH forest, verified exactly.
+"""N-gram Jaccard join by MinHash bands, verified exactly.
 
 Every document is its set of hashed word shingles; documents with one set are
-one class and only classes are compared.  A class has ``TREES`` signatures, each
-a path in a prefix trie; two classes are candidates when they share a trie node
-as deep as the matched prefix.  The prefix is shortened from ``LONGEST`` values
-until a pair just at the threshold shares such a node with the target
-probability, so any pair above it does so with more.
+one class and only classes are compared.  This is an LSH forest reduced to fixed
+bands: of each of ``TREES`` tries only one level is kept, a hash of as many
+MinHash values as ``prefix_length`` gives, and two classes are candidates when
+they share such a node.  That length is the longest, up to ``LONGEST``, at which
+a pair just at the threshold shares a node with the target probability, so any
+pair above it does so with more.  It depends on the constants only (4 here):
+prefixes are not shortened on the data, as the similarity sought is fixed.
 
 Classes that nodes hold together, directly or over others, form a cluster, so
 all candidates of a class are in its cluster and a pair is met once.  A cluster
