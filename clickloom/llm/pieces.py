@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-from .common import binaries, blocks, byte_spans, texts, with_columns
+from .common import binaries, blocks, byte_spans, texts, unused, with_columns
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A larger model file is refused: it is sent to every executor.
@@ -337,7 +337,9 @@ def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out: str
 
     ``checks`` names two boolean columns to add: whether the reference library
     gives the same ids, and whether the ids decode to the text (a literal marker
-    to the space that it stands for; the text as the model normalises it).  A
+    to the space that it stands for; the text as the model normalises it).  With
+    a model by words both are per word, as ``cut_words`` cuts them: see
+    ``encode_and_check`` for whole texts.  A
     null text is the empty text; an empty text has no ids.  Text that looks like
     a control piece is ordinary text.  Columns already called ``out`` or as
     ``checks`` say are replaced; all other columns and rows stay, also of an
@@ -389,3 +391,16 @@ def decode(docs: DataFrame, path: str = MODEL, ids_col: str = "token_ids", out:
         return [pa.concat_arrays(rows).cast(pa.string()) if rows else pa.array([], pa.string())]
 
     return with_columns(docs, [ids_col], work, f"`{out}` string")
+
+
+def encode_and_check(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``token_ids`` of the standard model, ``parity`` and ``round_trip``.
+
+    ``parity`` is per word: the reference library encodes each distinct word, not
+    the whole text.  ``round_trip`` is of the whole text too: the row's ids are
+    decoded by ``decode`` and compared with it, a literal marker as a space.
+    """
+    checked = encode(docs, text_col=text_col, checks=("parity", "round_trip"))
+    back = unused(checked, "decoded")
+    same = F.col(back) == F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(MARK), F.lit(" "))
+    return decode(checked, out=back).withColumn("round_trip", F.col("round_trip") & same).drop(back)

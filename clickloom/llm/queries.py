@@ -12,7 +12,7 @@ from .contamination import find_passages
 from .exact import exact_copies
 from .learning import held_out
 from .lines import drop_repeated_lines
-from .pieces import encode
+from .pieces import encode_and_check
 from .similar import near_copies
 from .substrings import drop_repeats
 from .wordpiece import token_counts
@@ -49,7 +49,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    out = encode(docs, checks=("parity", "round_trip"))
+    out = encode_and_check(docs)
     return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "parity", "round_trip")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import pin, read
 from clickloom.llm.contamination import drop_contaminated
 from clickloom.llm.exact import drop_copies
-from clickloom.llm.pieces import encode
+from clickloom.llm.pieces import encode_and_check
 from clickloom.llm.similar import drop_near_copies
 from clickloom.llm.toxicity import drop_toxic, fit
 
@@ -40,8 +40,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, compared with the reference library and decoded again."""
-    out = encode(docs.select("doc_id", "text"), checks=("parity", "round_trip"))
+    """Token ids of every document, compared with the reference library word by word and decoded again as a whole."""
+    out = encode_and_check(docs.select("doc_id", "text"))
     return out.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "parity", "round_trip")
 
 

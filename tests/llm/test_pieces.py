@@ -78,3 +78,14 @@ def test_large_model_is_refused(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("clickloom.llm.pieces.MODEL_BYTES", 99)
     with pytest.raises(ValueError, match="100 bytes"):
         model_bytes(spark, str(tmp_path / "model"))
+
+
+def test_whole_texts_are_decoded_and_compared(spark, monkeypatch):
+    import corpus_pipeline
+
+    # Words are right one by one, but put together in another order.
+    wrong = lambda docs, out: decode(docs.withColumn("token_ids", F.reverse("token_ids")), out=out)
+    monkeypatch.setattr("clickloom.llm.pieces.decode", wrong)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    for out in (op6_sentencepiece(spark, SF), corpus_pipeline.sentencepiece(spark, docs, SF)):
+        assert not any(r.round_trip for r in out.where("n_tokens > 5").limit(20).collect())
