@@ -11,8 +11,10 @@ from the shared lengths met since.  All tuples of one character leave the queue
 together, so each step is a few array operations.
 
 Shared lengths are cut off at ``depth``; suffixes alike so far are in any order.
-The text is read through a memory map and the queues hold a bounded part in
-memory; only the ranks of the S* suffixes of the level at hand are whole arrays.
+The text and the ranks of the S* suffixes of the level at hand are whole arrays in
+memory; the queues hold a bounded part.  Queues spill above ``QUEUE_TUPLES`` and
+names are induced again above ``BASE_NAMES``, far more than an ordinary shard of
+``substrings.SHARD_BYTES`` has: such a shard is sorted in memory, in one level.
 """
 
 from __future__ import annotations
