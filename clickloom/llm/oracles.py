@@ -102,4 +102,26 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op2_exact_dedup": OP2, "op3_line_dedup": OP3, "op4_lm_scores": OP4, "op7_suffix_dedup": OP7, "op8_decontamination": OP8}
+OP12 = """
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM documents
+), item AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark
+), total AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM doc
+), tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM doc) GROUP BY ALL
+), weight AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, total WHERE term IN (SELECT term FROM item) GROUP BY term, n_docs
+), scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM tf JOIN weight USING (term) JOIN item USING (term), total GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+ORACLES = {"op2_exact_dedup": OP2, "op3_line_dedup": OP3, "op4_lm_scores": OP4, "op7_suffix_dedup": OP7, "op8_decontamination": OP8, "op12_search": OP12}

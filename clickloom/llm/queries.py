@@ -11,6 +11,7 @@ from .common import read
 from .contamination import find_passages
 from .exact import exact_copies
 from .learning import held_out
+from .lexical import search
 from .lines import drop_repeated_lines
 from .pieces import encode_and_check
 from .similar import near_copies
@@ -76,4 +77,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels"))), 0.5)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_quality, op6_sentencepiece, op7_suffix_dedup, op8_decontamination, op9_similar, op10_toxicity)}
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_quality, op6_sentencepiece, op7_suffix_dedup, op8_decontamination, op9_similar, op10_toxicity, op12_search)}

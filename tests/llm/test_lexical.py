@@ -1,0 +1,74 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from clickloom.llm.lexical import automaton, count_terms, guarded, search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def brute(docs, items, top=50):
+    counts = [(i, Counter(terms(t))) for i, t in docs]
+    n_docs = sum(bool(c) for _, c in counts)
+    n_terms = sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    held = {}
+    for i, t in items:
+        held.setdefault(i, set()).update(terms(t))
+    out = []
+    for item, own in held.items():
+        scored = []
+        for i, c in counts:
+            m = 50 + 50 * sum(c.values()) * n_docs // max(1, n_terms)
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (1_000_000_000 * c[t] // (1000 * c[t] + 20 * m)) for t in own & set(c))
+            if score > 0:
+                scored.append((-score, i is None, i or 0, i))
+        out += [(item, rank, s[3], -s[0]) for rank, s in enumerate(sorted(scored)[:top], 1)]
+    return out
+
+
+DOCS = [
+    (1, "the cat sat on the mat"), (2, "The CAT-sat; mat"), (3, None), (4, ""), (5, "..!?"), (6, "naïve café Ünder 42"),
+    (7, "the cat sat on the mat"), (7, "the cat sat on the mat"), (None, "a cat, a cat"), (8, "concatenate the"), (9, "cat " * 300 + "dog"),
+    *((20 + i, f"filler w{i} the") for i in range(30)),
+]
+ITEMS = [("a", "cat"), ("b", "The mat, the MAT"), ("c", None), ("d", "..."), (None, "café 42"), ("e", "the"), ("e", "filler"), ("f", "absent"), ("b", "sat")]
+
+
+@pytest.mark.parametrize("top, block_bytes", [(50, 1 << 20), (3, 1 << 20), (3, 4)])
+def test_odd_rows_match_plain_version(spark, rows, top, block_bytes):
+    docs = spark.createDataFrame([(*d, "x", "y") for d in DOCS], "doc_id long, text string, n string, rank string").repartition(3)
+    items = spark.createDataFrame([(*i, 0) for i in ITEMS], "item_id string, text string, score int")
+    found = search(docs, items, top=top, block_bytes=block_bytes)
+    assert found.columns == ["item_id", "rank", "doc_id", "score"]
+    assert rows(found) == sorted(brute(DOCS, ITEMS, top), key=repr)
+
+
+@pytest.mark.parametrize("docs, items", [([], ITEMS), (DOCS, []), (DOCS, [("a", None)]), ([(1, None)], ITEMS)])
+def test_nothing_to_find(spark, docs, items):
+    found = search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string"))
+    assert found.collect() == []
+
+
+def test_long_text_is_cut_between_terms():
+    known = [b"ab", b"x" * 50, "é".encode()]
+    text = ("ab é " * 40 + "x" * 50 + ";" + "x" * 51 + " Ab.ab" + "!" * 90).encode()
+    whole = count_terms(text, automaton(known))
+    assert whole == (85 - 1, Counter({0: 42, 2: 40, 1: 1}))
+    for limit in (1, 7, 64):
+        assert count_terms(text, automaton(known), limit) == whole
+        assert all(p[0] == p[-1] == " " for p in guarded(text, limit))
+
+
+def test_long_texts_beside_short_ones(spark, rows, monkeypatch):
+    docs = [(1, "needle " + "hay " * 400_000 + "needle"), (2, "needle"), (3, "hay")]
+    items = [(1, "needle"), (2, "hay needle")]
+    found = search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string"))
+    assert rows(found) == sorted(brute(docs, items), key=repr)
