@@ -15,6 +15,7 @@ from .lexical import search
 from .lines import drop_repeated_lines
 from .pieces import encode_and_check
 from .similar import near_copies
+from .simhash import simhash_classes
 from .substrings import drop_repeats
 from .wordpiece import token_counts
 
@@ -81,4 +82,8 @@ def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_quality, op6_sentencepiece, op7_suffix_dedup, op8_decontamination, op9_similar, op10_toxicity, op12_search)}
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_classes(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_quality, op6_sentencepiece, op7_suffix_dedup, op8_decontamination, op9_similar, op10_toxicity, op12_search, op13_simhash)}
