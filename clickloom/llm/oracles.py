@@ -102,6 +102,36 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc LEFT JOIN counted USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP11 = """
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents
+), word AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM piece
+), total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM word GROUP BY lang
+), f AS (
+  SELECT lang, k, array_to_string(w[s : s + k - 1], ' ') AS phrase, count(*) AS f
+  FROM word, unnest(range(1, len(w) + 1)) AS r(s), (VALUES (1), (2), (3), (4)) AS v(k)
+  WHERE s + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 30
+), cand AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE k >= 2
+), cut AS (
+  SELECT c.lang, c.phrase, a, j, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) AS c
+  JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : j], ' ')
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(w[j + 1 : c.k], ' ')
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inner_ AS (
+  SELECT lang, array_to_string(w[s : s + m - 1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT *, unnest(range(2, k)) AS m FROM cand), unnest(range(1, k - m + 2)) AS r(s) GROUP BY ALL
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+  FROM best LEFT JOIN inner_ USING (lang, phrase) JOIN total USING (lang)
+  WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
 OP12 = """
 WITH doc AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -124,4 +154,4 @@ WITH doc AS (
 SELECT * FROM ranked WHERE rank <= 50
 """
 
-ORACLES = {"op2_exact_dedup": OP2, "op3_line_dedup": OP3, "op4_lm_scores": OP4, "op7_suffix_dedup": OP7, "op8_decontamination": OP8, "op12_search": OP12}
+ORACLES = {"op2_exact_dedup": OP2, "op3_line_dedup": OP3, "op4_lm_scores": OP4, "op7_suffix_dedup": OP7, "op8_decontamination": OP8, "op11_collocations": OP11, "op12_search": OP12}

@@ -13,6 +13,7 @@ from .exact import exact_copies
 from .learning import held_out
 from .lexical import search
 from .lines import drop_repeated_lines
+from .phrases import collocations
 from .pieces import encode_and_check
 from .similar import near_copies
 from .simhash import simhash_classes
@@ -78,6 +79,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels"))), 0.5)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -86,4 +91,4 @@ def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_classes(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_quality, op6_sentencepiece, op7_suffix_dedup, op8_decontamination, op9_similar, op10_toxicity, op12_search, op13_simhash)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_quality, op6_sentencepiece, op7_suffix_dedup, op8_decontamination, op9_similar, op10_toxicity, op11_collocations, op12_search, op13_simhash)}
