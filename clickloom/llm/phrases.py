@@ -6,10 +6,10 @@ count is the sum over the windows that begin with it, which ROLLUP gives for all
 lengths at once, so shorter n-grams are never made from the text.
 
 A window is cut where no frequent phrase can go on: at words, then at pairs of
-words, whose hash slot was met less often than ``min_count``.  Slot counts are
-kept as a bit map of fixed size.  Slots that many rare words share only leave
-windows longer than need be; the counts of all phrases met ``min_count`` times
-are exact.
+words, whose hash was met less often than ``min_count``.  The hashes met that
+often are kept as a bit map of fixed size.  Rare words that share a hash or a bit
+with frequent ones only leave windows longer than need be; the counts of all
+phrases met ``min_count`` times are exact.
 """
 
 from __future__ import annotations
@@ -23,16 +23,18 @@ from .common import pin
 MIN_COUNT = 30
 MAX_WORDS = 4
 TOP = 2000
-#: Slots of one bit map: 2**23 bits are 1 MB.
-SLOTS = 1 << 23
+#: Bits of one bit map: 2**25 are 4 MB.
+SLOTS = 1 << 25
+#: Hashes that are counted: a power of two, so that bits are hashes cut off.
+HASHES = 1 << 40
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _ENDS = ".,;:!?\n\x0b\x0c\r"
 
 
 def piece_words(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, w): the words of every piece of text, as an array."""
-    plain = F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER + "\t" + _ENDS, _LOWER + " " + "\n" * len(_ENDS))
+    plain = F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER + "\t" + _ENDS, _UPPER.lower() + " " + "\n" * len(_ENDS))
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")
     pieces = docs.select(lang, F.explode(F.split(plain, "\n")).alias("piece"))
     return pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("w"))
@@ -44,40 +46,42 @@ def windows(words: DataFrame, size: int) -> DataFrame:
     return words.select("lang", F.inline(F.arrays_zip(*ahead)).alias(*(f"w{i + 1}" for i in range(size))))
 
 
-def _slot(slots: int, *words: str) -> Column:
-    return F.pmod(F.xxhash64("lang", *words), F.lit(slots))
+def _hash(*words: str) -> Column:
+    return F.xxhash64("lang", *words).bitwiseAND(HASHES - 1)
 
 
 def slot_map(df: DataFrame, slots: int, min_count: int) -> DataFrame:
-    """One row ``bits``: a bit for every value of ``slot`` that ``min_count`` rows have, in words of 64 bits."""
-    often = df.groupBy("slot").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
+    """One row ``bits``: a bit for every value of ``hash`` that ``min_count`` rows have, in words of 64 bits."""
+    often = df.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
+    often = often.select(F.col("hash").bitwiseAND(slots - 1).alias("slot"))
     bit = F.expr("shiftleft(1L, cast(slot % 64 AS int))")
-    words = often.groupBy((F.col("slot") / 64).cast("long").alias("at")).agg(F.bit_or(bit).alias("bits"))
+    words = often.groupBy(F.floor(F.col("slot") / 64).alias("at")).agg(F.bit_or(bit).alias("bits"))
     # All places, at most slots / 64, so the array is dense.
     every = df.sparkSession.range(slots // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("bits"))
     full = words.unionByName(every).groupBy("at").agg(F.bit_or("bits").alias("bits"))
     return pin(full.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "bits"))), lambda x: x["bits"]).alias("bits")))
 
 
-def _set(bits: DataFrame, slot: Column) -> Column:
-    """Whether the bit of ``slot`` is set."""
-    return F.getbit(F.get(bits.scalar(), F.floor(slot / 64).cast("int")), F.pmod(slot, F.lit(64)).cast("int")) == 1
+def _set(bits: DataFrame, slots: int, *words: str) -> Column:
+    """Whether the bit of the words' hash is set."""
+    slot = _hash(*words).bitwiseAND(slots - 1)
+    return F.getbit(F.get(bits.scalar(), F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(63).cast("int")) == 1
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, slots: int = SLOTS) -> DataFrame:
     """(lang, words, f): every phrase of at most ``max_words`` words met ``min_count`` times; no words: all words of the language."""
     words = piece_words(docs, text_col, lang_col)
-    known = slot_map(windows(words, 1).select(_slot(slots, "w1").alias("slot")), slots, min_count)
+    known = slot_map(windows(words, 1).select(_hash("w1").alias("hash")), slots, min_count)
 
     def may(n: int) -> Column:
-        return _set(known, _slot(slots, f"w{n}"))
+        return _set(known, slots, f"w{n}")
 
     two = windows(words, 2).where(F.col("w2").isNotNull()).where(may(1) & may(2))
-    pairs = slot_map(two.select(_slot(slots, "w1", "w2").alias("slot")), slots, min_count)
+    pairs = slot_map(two.select(_hash("w1", "w2").alias("hash")), slots, min_count)
     names = [f"w{n}" for n in range(1, max_words + 1)]
     cut = windows(words, max_words).withColumn("w1", F.when(may(1), F.col("w1")).otherwise(F.lit("")))
     for before, own in zip(names, names[1:]):
-        goes_on = (F.col(before) != "") & F.col(own).isNotNull() & _set(pairs, _slot(slots, before, own))
+        goes_on = (F.col(before) != "") & F.col(own).isNotNull() & _set(pairs, slots, before, own)
         cut = cut.withColumn(own, F.when(goes_on, F.col(own)).otherwise(F.lit("")))
     counted = cut.groupBy("lang", *names).agg(F.count("*").alias("n"))
     rolled = counted.rollup("lang", *names).agg(F.sum("n").alias("f"))
@@ -137,7 +141,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     Order: score, then a, descending, then the phrase by its bytes.  A null
     language is ``und``; null and empty texts have no words; repeated rows
     count each; an empty table, or one without candidates, gives no row; other
-    columns are ignored.  ``slots`` bounds the memory of the bit maps only.
+    columns are ignored.  ``slots`` (a power of two) bounds the memory of the bit maps only.
     """
     phrases = pin(frequent_phrases(docs, text_col, lang_col, min_count, max_words, slots).withColumn("key", _key(F.col("words"))))
     candidates = pin(phrases.where(F.size("words") >= 2).withColumnRenamed("f", "a"))
