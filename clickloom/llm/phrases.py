@@ -5,11 +5,12 @@ padded to the longest phrase length.  Only these windows are counted.  A phrase'
 count is the sum over the windows that begin with it, which ROLLUP gives for all
 lengths at once, so shorter n-grams are never made from the text.
 
-A window is cut where no frequent phrase can go on: at words, then at pairs of
-words, whose hash was met less often than ``min_count``.  The hashes met that
-often are kept as a bit map of fixed size.  Rare words that share a hash or a bit
-with frequent ones only leave windows longer than need be; the counts of all
-phrases met ``min_count`` times are exact.
+A window is cut behind its longest prefix that can be a frequent phrase.  To tell
+that, hashes are counted first: of words, of pairs of words met often enough, and
+of longer prefixes of such pairs.  Those met ``min_count`` times are kept as bit
+maps of fixed size.  Rare phrases that share a hash or a bit with frequent ones
+only leave windows longer than need be; the counts of all phrases met
+``min_count`` times are exact.
 """
 
 from __future__ import annotations
@@ -79,10 +80,23 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     two = windows(words, 2).where(F.col("w2").isNotNull()).where(may(1) & may(2))
     pairs = slot_map(two.select(_hash("w1", "w2").alias("hash")), slots, min_count)
     names = [f"w{n}" for n in range(1, max_words + 1)]
-    cut = windows(words, max_words).withColumn("w1", F.when(may(1), F.col("w1")).otherwise(F.lit("")))
-    for before, own in zip(names, names[1:]):
-        goes_on = (F.col(before) != "") & F.col(own).isNotNull() & _set(pairs, slots, before, own)
-        cut = cut.withColumn(own, F.when(goes_on, F.col(own)).otherwise(F.lit("")))
+    whole = windows(words, max_words)
+    length = F.when(~may(1), 0)
+    if max_words > 1:
+        length = length.when(F.col("w2").isNull() | ~_set(pairs, slots, "w1", "w2"), 1)
+    if max_words > 2:
+        # Most rows go at their first two pairs, before anything else is looked up.
+        chain = whole.where(_set(pairs, slots, "w1", "w2")).where(F.col("w3").isNotNull()).where(_set(pairs, slots, "w2", "w3"))
+        hashes, linked = [_hash(*names[:3])], F.lit(True)
+        for n in range(4, max_words + 1):
+            linked = linked & F.col(names[n - 1]).isNotNull() & _set(pairs, slots, *names[n - 2 : n])
+            hashes.append(F.when(linked, _hash(*names[:n])))
+        several = F.explode(F.array(*hashes)).alias("hash")
+        longer = slot_map(chain.select(several).where(F.col("hash").isNotNull()), slots, min_count)
+        for n in range(3, max_words + 1):
+            length = length.when(F.col(names[n - 1]).isNull() | ~_set(longer, slots, *names[:n]), n - 1)
+    cut = whole.withColumn("kept", length.otherwise(max_words))
+    cut = cut.select("lang", *(F.when(F.col("kept") >= n, F.col(name)).otherwise(F.lit("")).alias(name) for n, name in enumerate(names, 1)))
     counted = cut.groupBy("lang", *names).agg(F.count("*").alias("n"))
     rolled = counted.rollup("lang", *names).agg(F.sum("n").alias("f"))
     # Of a rolled-up row the words kept are its phrase; one that ends in padding is none.
