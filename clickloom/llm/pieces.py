@@ -5,13 +5,16 @@ normaliser, the metaspace marker, scores (as merge ranks for a BPE model, as
 they are for a unigram model) and byte fallback.  When no piece holds a marker
 after another character, no merge can cross the place before a run of markers,
 so the text is cut there into words first and each distinct word is encoded
-once for as long as a worker remembers it (and once by the reference library,
-where parity is asked for); else whole texts are encoded.
+once for as long as a worker remembers it; else whole texts are encoded.  Words
+are told apart by their bytes.  Where checks are asked for, the reference library
+encodes the whole text, and the ids of the whole text are decoded and compared
+with it, in the same pass.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,22 +27,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-from .common import binaries, blocks, byte_spans, texts, unused, with_columns
+from .common import binaries, blocks, texts, with_columns
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A larger model file is refused: it is sent to every executor.
 MODEL_BYTES = 64 << 20
 #: Text taken at once, words and documents given to the library at once, and its threads in a task.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 BATCH_ROWS = 10_000
 DECODE_ROWS = 1000
 THREADS = 2
-#: Distinct words a worker remembers, encoded or decoded; when full it starts anew.
-MEMO_WORDS = 1_500_000
+#: Bytes of distinct words and their ids that a worker remembers; when full it starts anew.
+MEMO_BYTES = 32 << 20
+#: What a remembered word takes beside its bytes and ids.
+_ENTRY_BYTES = 150
 MARK = "▁"
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+_WORD_START = re.compile(f"(?<![ {MARK}]) ")
 
 
 def fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -168,37 +174,51 @@ def model_bytes(spark: SparkSession, path: str) -> bytes:
 
 
 class Memo:
-    """What words (64-bit hashes) were turned into, for as many as ``limit`` at a time."""
+    """What distinct words were turned into, one after the other in one array that grows in place."""
 
-    def __init__(self, kind, limit: int):
+    def __init__(self, kind, limit: int = MEMO_BYTES):
         self.kind, self.limit = kind, limit
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.low, self.size, self.fine = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros((0, 2), bool)
-        self.data = np.zeros(0, self.kind)
-
-    def get(self, keys: np.ndarray, make) -> np.ndarray:
-        """Places in the table of the sorted, distinct ``keys``; ``make(which)`` gives data, sizes and flags of new ones."""
-        if len(self.keys) + len(keys) > self.limit:
+        self.place: dict[bytes, int] = {}
+        self.ends = np.zeros(1 << 10, np.int64)
+        self.data = np.zeros(1 << 12, self.kind)
+        self.held = 0
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        if size <= len(array):
+            return array
+        grown = np.zeros(max(size, 2 * len(array)), array.dtype)
+        grown[: len(array)] = array
+        return grown
+
+    def get(self, words: list[bytes], make) -> np.ndarray:
+        """The place of each of the distinct ``words``; ``make(new)`` gives the data and sizes of new ones."""
+        if self.held > self.limit:
             self.clear()
-        at = np.searchsorted(self.keys, keys)
-        new = np.flatnonzero(at == len(self.keys)) if not len(self.keys) else np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != keys)
+        at = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
         if len(new):
-            data, size, fine = make(new)
-            low = len(self.data) + np.cumsum(size) - size
-            self.data = np.concatenate([self.data, data])
-            for name, more in (("low", low), ("size", size), ("fine", fine), ("keys", keys[new])):
-                setattr(self, name, np.insert(getattr(self, name), at[new], more, axis=0))
-            at = np.searchsorted(self.keys, keys)
+            fresh = [words[i] for i in new.tolist()]
+            data, sizes = make(fresh)
+            n, end = len(self.place), int(self.ends[len(self.place)])
+            self.data = self._room(self.data, end + len(data))
+            self.data[end : end + len(data)] = data
+            self.ends = self._room(self.ends, n + len(fresh) + 1)
+            self.ends[n + 1 : n + len(fresh) + 1] = end + np.cumsum(sizes)
+            at[new] = np.arange(n, n + len(fresh))
+            self.place.update(zip(fresh, range(n, n + len(fresh))))
+            self.held += sum(map(len, fresh)) + data.nbytes + _ENTRY_BYTES * len(fresh)
         return at
 
     def spread(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The data at places ``at`` one after the other, and where each ends (from 0)."""
-        size = self.size[at]
-        ends = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
-        return self.data[np.arange(ends[-1]) + np.repeat(self.low[at] - ends[:-1], size)], ends
+        low = self.ends[at]
+        size = self.ends[at + 1] - low
+        ends = np.concatenate(([0], np.cumsum(size)))
+        return self.data[np.arange(ends[-1]) + np.repeat(low - ends[:-1], size)], ends
 
 
 @dataclass
@@ -226,7 +246,7 @@ def built(content: bytes, threads: int) -> Built:
         opens = np.array([p.startswith(model.space) for p, _, _ in model.pieces])
         marks = np.array([bool(p) and not p.strip(model.space) for p, _, _ in model.pieces])
         _built.clear()
-        _built[content] = Built(model, build(model), build(model, words=True), Memo(np.int32, MEMO_WORDS), Memo(np.uint8, MEMO_WORDS), opens, marks)
+        _built[content] = Built(model, build(model), build(model, words=True), Memo(np.int32), Memo(np.uint8), opens, marks)
     return _built[content]
 
 
@@ -281,34 +301,48 @@ def back_to_text(own: Built, rows: list[list[int]]) -> list[str]:
     return [x[1:] for i in range(0, len(rows), BATCH_ROWS) for x in own.texts.decode_batch(rows[i : i + BATCH_ROWS], skip_special_tokens=False)]
 
 
-def encode_words(own: Built, data: np.ndarray, offsets: np.ndarray, other=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, ids per row, and per row whether ``other`` agrees and whether they decode to the text.
+def distinct(words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words, compared byte by byte, and for each word its place among them."""
+    coded = words.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy()
 
-    Each distinct word is encoded and checked once; without ``other`` nothing is checked.
-    """
+
+def encode_words(own: Built, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and ids per row; each distinct word is encoded once."""
     data, starts, first = cut_words(data, offsets)
     ends = np.append(starts[1:], len(data))[: len(starts)]
-    keys, index, inverse = np.unique(byte_spans(data, starts, ends), return_index=True, return_inverse=True)
+    words, inverse = distinct(binaries(data, starts, ends))
+    at = own.ids.get(words, lambda new: encode_all(own.words, [w.decode().replace(" ", MARK) for w in new]))
+    ids, ends = own.ids.spread(at[inverse])
+    return ids, np.diff(ends[first])
 
-    def make(new):
-        words = binaries(data, starts[index[new]], ends[index[new]]).cast(pa.large_string())
-        ids, sizes = encode_all(own.words, pc.replace_substring(words, " ", MARK).to_pylist())
-        fine = np.ones((len(new), 2), bool)
-        if other:
-            # The other library puts the prefix in itself, and has no ids for a lone prefix.
-            alone = [x[1:] for x in words.to_pylist()]
-            fine[:, 0] = agree(other, alone, ids, sizes) | np.array([not x for x in alone])
-            bounds = np.cumsum(sizes)
-            flat = ids.tolist()
-            found = back_to_text(own, [flat[b - n : b] for b, n in zip(bounds.tolist(), sizes.tolist())])
-            # A literal marker is a space to the model.
-            fine[:, 1] = pc.equal(pa.array(found, pa.large_string()), pc.replace_substring(words, MARK, " ")).to_numpy(zero_copy_only=False)
-        return ids, sizes, fine
-
-    at = own.ids.get(keys, make)[inverse]
-    ids, ends = own.ids.spread(at)
-    wrong = np.concatenate((np.zeros((1, 2), np.int64), np.cumsum(~own.ids.fine[at], axis=0)))
-    return ids, np.diff(ends[first]), wrong[first[1:]] == wrong[first[:-1]]
+
+def parts_of(text: str, limit: int) -> list[str]:
+    """A text in parts of about ``limit`` characters that are encoded, one after the other, to its ids.
+
+    A cut takes the first space of a run away, as every part gets the prefix.
+    """
+    out, low = [], 0
+    while len(text) - low > limit and (cut := _WORD_START.search(text, low + limit)) and cut.start() < len(text) - 1:
+        out.append(text[low : cut.start()])
+        low = cut.end()
+    return [*out, text[low:]] if low else [text]
+
+
+def check(own: Built, other, rows: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per row, whether the reference library gives these ids for the whole text, and whether they decode to it.
+
+    A literal marker decodes to the space that it stands for; a model that
+    normalises gives the text as the reference library gives it back.
+    """
+    same = agree(other, rows, ids, sizes)
+    back, ends = [], np.concatenate(([0], np.cumsum(sizes)))
+    for i in range(0, len(rows), DECODE_ROWS):
+        cuts = ends[i : i + DECODE_ROWS + 1]
+        lists = [x.tolist() for x in np.split(ids[cuts[0] : cuts[-1]], cuts[1:-1] - cuts[0])]
+        back += own.texts.decode_batch(lists, skip_special_tokens=False)
+    expected = (x.replace(MARK, " ") for x in rows) if own.model.by_word else map(other.decode, map(other.encode, rows))
+    return np.stack([same, np.fromiter((a == b for a, b in zip(back, expected, strict=True)), bool, len(rows))], axis=1)
 
 
 def decode_words(own: Built, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -318,13 +352,13 @@ def decode_words(own: Built, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
     cut[offsets[:-1][np.diff(offsets) > 0]] = True
     starts = np.flatnonzero(cut)
     ends = np.append(starts[1:], len(ids))[: len(starts)]
-    keys, index, inverse = np.unique(byte_spans(ids, starts, ends), return_index=True, return_inverse=True)
+    words, inverse = distinct(binaries(ids.astype("<i4").view(np.uint8), 4 * starts, 4 * ends))
 
     def make(new):
-        words = [x.encode() for x in back_to_text(own, [ids[starts[i] : ends[i]].tolist() for i in index[new]])]
-        return np.frombuffer(b"".join(words), np.uint8), np.fromiter(map(len, words), np.int64, len(words)), np.ones((len(words), 2), bool)
+        found = [x.encode() for x in back_to_text(own, [np.frombuffer(w, "<i4").tolist() for w in new])]
+        return np.frombuffer(b"".join(found), np.uint8), np.fromiter(map(len, found), np.int64, len(found))
 
-    at = own.bytes.get(keys, make)[inverse]
+    at = own.bytes.get(words, make)[inverse]
     data, ends = own.bytes.spread(at)
     bounds = ends[np.searchsorted(starts, offsets)]
     # The dummy prefix goes.
@@ -336,14 +370,13 @@ def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out: str
     """``docs`` with the array column ``out``: the ids of the whole text.
 
     ``checks`` names two boolean columns to add: whether the reference library
-    gives the same ids, and whether the ids decode to the text (a literal marker
-    to the space that it stands for; the text as the model normalises it).  With
-    a model by words both are per word, as ``cut_words`` cuts them: see
-    ``encode_and_check`` for whole texts.  A
-    null text is the empty text; an empty text has no ids.  Text that looks like
-    a control piece is ordinary text.  Columns already called ``out`` or as
-    ``checks`` say are replaced; all other columns and rows stay, also of an
-    empty table.
+    gives the same ids for the whole text, and whether the ids decode to it (a
+    literal marker to the space that it stands for; the text as the model
+    normalises it).  With a model by words a very long text is taken in parts,
+    each as if it were a text.  A null text is the empty text; an empty text has
+    no ids.  Text that looks like a control piece is ordinary text.  Columns
+    already called ``out`` or as ``checks`` say are replaced; all other columns
+    and rows stay, also of an empty table.
     """
     content = model_bytes(docs.sparkSession, path)
 
@@ -352,22 +385,28 @@ def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out: str
 
         own = built(content, threads)
         other = sentencepiece.SentencePieceProcessor(model_proto=content) if checks else None
-        data, offsets = texts(column)
-        ids, sizes, fine = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], [np.zeros((0, 2), bool)]
+        _, offsets = texts(column)
+        ids, sizes, fine = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros((0, 2), bool)]
         for low, high in blocks(offsets, BATCH_BYTES):
-            at = offsets[low : high + 1]
-            if own.model.by_word:
-                found = encode_words(own, data[at[0] : at[-1]], at - at[0], other)
-            else:
-                rows = [x or "" for x in column[low:high].to_pylist()]
-                found = *encode_all(own.texts, rows), np.ones((len(rows), 2), bool)
+            whole = [x or "" for x in column[low:high].to_pylist()]
+            cut = [parts_of(x, BATCH_BYTES) if own.model.by_word else [x] for x in whole]
+            first = np.concatenate(([0], np.cumsum([len(x) for x in cut])))
+            length = np.zeros(first[-1], np.int64)
+            good = np.ones((first[-1], 2), bool)
+            # A long text is a block alone: its parts are taken one by one.
+            steps = [(0, first[-1])] if len(whole) > 1 else [(i, i + 1) for i in range(first[-1])]
+            rows = [x for some in cut for x in some]
+            for a, b in steps:
+                found, n = encode_words(own, *texts(pa.array(rows[a:b], pa.large_string()))) if own.model.by_word else encode_all(own.texts, rows[a:b])
+                length[a:b] = n
                 if other:
-                    lists = np.split(found[0], np.cumsum(found[1])[:-1])
-                    found[2][:, 0] = agree(other, rows, *found[:2])
-                    found[2][:, 1] = [a == b for a, b in zip(own.texts.decode_batch([x.tolist() for x in lists], skip_special_tokens=False), map(other.decode, map(other.encode, rows)))]
-            for kept, new in zip((ids, sizes, fine), found, strict=True):
-                kept.append(new)
-        lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), pa.array(np.concatenate(ids)))
+                    good[a:b] = check(own, other, rows[a:b], found, n)
+                ids.append(found)
+            sizes.append(np.add.reduceat(length, first[:-1]))
+            fine.append(np.logical_and.reduceat(good, first[:-1], axis=0))
+        flat = np.concatenate(ids)
+        ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
         fine = np.concatenate(fine)
         return [lists, pa.array(fine[:, 0]), pa.array(fine[:, 1])] if checks else [lists]
 
@@ -394,13 +433,9 @@ def decode(docs: DataFrame, path: str = MODEL, ids_col: str = "token_ids", out:
 
 
 def encode_and_check(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``token_ids`` of the standard model, ``parity`` and ``round_trip``.
+    """``docs`` with ``token_ids`` of the standard model, ``parity`` and ``round_trip`` of whole texts, in one pass.
 
-    ``parity`` is per word: the reference library encodes each distinct word, not
-    the whole text.  ``round_trip`` is of the whole text too: the row's ids are
-    decoded by ``decode`` and compared with it, a literal marker as a space.
+    Odd rows are as ``encode`` says: a null or empty text has no ids and both
+    flags true; columns of these three names are replaced, all others stay.
     """
-    checked = encode(docs, text_col=text_col, checks=("parity", "round_trip"))
-    back = unused(checked, "decoded")
-    same = F.col(back) == F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit(MARK), F.lit(" "))
-    return decode(checked, out=back).withColumn("round_trip", F.col("round_trip") & same).drop(back)
+    return encode(docs, text_col=text_col, checks=("parity", "round_trip"))

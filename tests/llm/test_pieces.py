@@ -1,11 +1,14 @@
 import random
 import struct
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from clickloom.llm.pieces import MARK, MODEL, Model, build, decode, encode, model_bytes
+from clickloom.llm.common import texts
+from clickloom.llm.pieces import MARK, MODEL, Memo, Model, build, built, check, decode, encode, encode_and_check, encode_words, model_bytes, parts_of
 from clickloom.llm.queries import op6_sentencepiece
 
 SF = "/root/testdata/sf0.001"
@@ -80,12 +83,52 @@ def test_large_model_is_refused(spark, tmp_path, monkeypatch):
         model_bytes(spark, str(tmp_path / "model"))
 
 
-def test_whole_texts_are_decoded_and_compared(spark, monkeypatch):
-    import corpus_pipeline
+def test_whole_texts_are_decoded_and_compared(other):
+    """Words that are right one by one but in another order fail both checks."""
+    own = built(open(MODEL, "rb").read(), 1)
+    rows = ["first one then another", "", "a", f"x{MARK} y"]
+    ids, sizes = encode_words(own, *texts(pa.array(rows, pa.large_string())))
+    assert check(own, other, rows, ids, sizes).all()
+    turned = np.concatenate([x[::-1] for x in np.split(ids, np.cumsum(sizes)[:-1])])
+    assert check(own, other, rows, turned, sizes).tolist() == [[False, False], [True, True], [len(other.encode("a")) == 1] * 2, [False, False]]
+    fewer = sizes - np.array([1, 0, 0, 0])
+    assert not check(own, other, rows[:1], ids[: fewer[0]], fewer[:1]).any()
 
-    # Words are right one by one, but put together in another order.
-    wrong = lambda docs, out: decode(docs.withColumn("token_ids", F.reverse("token_ids")), out=out)
-    monkeypatch.setattr("clickloom.llm.pieces.decode", wrong)
-    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
-    for out in (op6_sentencepiece(spark, SF), corpus_pipeline.sentencepiece(spark, docs, SF)):
-        assert not any(r.round_trip for r in out.where("n_tokens > 5").limit(20).collect())
+
+def test_words_are_told_apart_by_their_bytes(other):
+    """A Thue-Morse word and its mirror, which polynomial hashes modulo 2**64 take for one."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    rows = ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+    own = built(open(MODEL, "rb").read(), 1)
+    ids, sizes = encode_words(own, *texts(pa.array(rows, pa.large_string())))
+    assert ids[: sizes[0]].tolist() == other.encode(rows[0]) != other.encode(rows[1]) == ids[sizes[0] :].tolist()
+
+
+@pytest.mark.parametrize("limit", [1, 3, 40])
+def test_parts_encode_to_the_ids_of_the_whole(other, limit):
+    rng = random.Random(2)
+    for text in [t or "" for t in TEXTS[:12]] + ["".join(rng.choices(f"ab  {MARK}\né", k=60)) for _ in range(200)]:
+        parts = parts_of(text, limit)
+        assert [i for part in parts for i in other.encode(part)] == other.encode(text), text
+        assert " ".join(parts) == text
+
+
+def test_a_memo_that_is_full_starts_anew():
+    memo, made = Memo(np.int32, 600), []
+
+    def make(new):
+        made.append(new)
+        return np.array([int(w) for w in new for _ in range(2)], np.int32), np.full(len(new), 2)
+
+    for words in ([b"1", b"2"], [b"2", b"3"], [b"1"], [b"4"], [b"1"]):
+        data, ends = memo.spread(memo.get(words, make))
+        assert data.tolist() == [int(w) for w in words for _ in range(2)] and ends.tolist() == list(range(0, 2 * len(words) + 1, 2))
+    assert made == [[b"1", b"2"], [b"3"], [b"4"], [b"1"]]
+
+
+def test_odd_rows_of_the_checked_operator(spark, other):
+    docs = spark.createDataFrame([(t, 1, False) for t in [*TEXTS, "long " * 500_000 + "end"]], "text string, token_ids int, Parity boolean")
+    for r in encode_and_check(docs).collect():
+        assert r.token_ids == other.encode(r.text or "") and r.parity and r.round_trip
+    assert encode_and_check(docs).columns == ["text", "token_ids", "parity", "round_trip"]
+    assert encode_and_check(docs.limit(0)).collect() == []
