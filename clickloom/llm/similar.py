@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Grams, Words, mix, pin, unused, word_blocks
+from .components import contract
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -33,6 +34,8 @@ TREES = 16
 LONGEST = 8
 RECALL = 0.999
 BLOCK = 1024
+#: Text taken at once.
+TEXT_BYTES = 1 << 20
 #: Columns of the membership matrix of a task that are multiplied at once.
 COLUMNS = 4096
 #: Where two similarities differ only by rounding.
@@ -91,7 +94,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, trees: in
 
     def sign(batches):
         for batch in batches:
-            for low, high, words in word_blocks(batch.column(1)):
+            for low, high, words in word_blocks(batch.column(1), TEXT_BYTES):
                 sets = shingle_sets(words, size)
                 nodes = paths(sets, trees, depth).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -107,7 +110,7 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFra
 
     def give(batches):
         for batch in batches:
-            for _, _, words in word_blocks(batch.column(0)):
+            for _, _, words in word_blocks(batch.column(0), TEXT_BYTES):
                 sets = shingle_sets(words, size)
                 yield pa.RecordBatch.from_arrays([pa.array(set_keys(sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["set_key", "shingles"])
 
@@ -212,21 +215,8 @@ def _tasks(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.R
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node of each connected group, from (a, b) edges.
-
-    Smallest labels spread over the edges and are followed to their own label,
-    so the distance they cover doubles each round; every round is written.
-    """
-    both = pin(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = pin(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        new = pin(step.join(jump, "label", "left").select("node", "old", F.least("label", "far").alias("label")))
-        if new.where("label <> old").isEmpty():
-            return new.select("node", "label")
-        labels = new.select("node", "label")
+    """(node, label) from (a, b) edges: nodes have one label if and only if edges connect them."""
+    return contract(edges).withColumnRenamed("root", "label")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, longest: int = LONGEST, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
