@@ -78,6 +78,23 @@ def test_toxic_documents_go_with_nothing_else(spark):
     assert {r.doc_id for r in left.collect()} >= {1, 2, 3, 5, None}
 
 
+def test_a_fixed_phrase_tells_though_its_words_have_one_neighbour(spark):
+    """Toxic texts hold one phrase, ordinary ones as many rare words of their own."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(600):
+        words = [f"w{j}" for j in rng.integers(0, 60, 40)]
+        at = int(rng.integers(0, 40))
+        words[at:at] = ["grim", "foul", "beast"] if i % 2 else [f"rare{i}x{k}" for k in range(3)]
+        rows.append((i, " ".join(words), i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    found = toxicity.score(docs.drop("toxic"), toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"))).toPandas().sort_values("doc_id")
+    held = np.array([zlib.crc32(str(i).encode()) % 5 == 0 for i in range(600)])
+    y = np.arange(600) % 2
+    assert auc(found.score.to_numpy()[held], y[held]) > 0.99
+    assert (found.score.to_numpy()[held & (y == 0)] >= 0.5).mean() < 0.02
+
+
 def test_evidence_is_the_largest_mean_of_a_run():
     rows = ["a b c d e", "", "c", "b c"]
     words = Words(*texts(__import__("pyarrow").array(rows)))
