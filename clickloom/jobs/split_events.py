@@ -4,7 +4,7 @@ Options: ``spark.filter.topic_name``, ``.offset``, ``.output_dir_prefix``,
 ``.bootstrap_servers``, ``.partitions`` (of the topic), ``.min_partitions`` (of
 the read: lets several tasks share one large topic partition), ``.rebalance``
 (1 merges small files by a shuffle, 0 writes as read; default 1), ``.layout``
-(``moved``: ``<kind>/``, or ``partitions``: ``kind=<kind>/`` without moves).  With
+(``moved``: ``<kind>/``, or ``versions``: published by a manifest, without moves).  With
 ``.topic_path`` (and ``.topic_format``) files stand in for a broker.
 """
 

@@ -2,7 +2,8 @@
 
 Options: ``spark.kpis.topic_in``, ``.topic_out``, ``.checkpoint``,
 ``.bootstrap_servers``, ``.window``, ``.start`` (epoch milliseconds at which a
-window begins), ``.trigger``, ``.watermark``,
+window begins, or ``earliest`` for the first event), ``.trigger``, ``.watermark``,
+``.compact`` (1 keeps a file topic as compacted runs; default 0),
 ``.max_offsets`` (per micro-batch; bounds the first one on a full topic).
 With ``.path_in`` and ``.path_out`` files stand in for the topics.
 """
@@ -25,7 +26,8 @@ def main() -> None:
             "window": (str, "1 hour"),
             "trigger": (str, "5 seconds"),
             "watermark": (str, None),
-            "start": (int, None),
+            "start": (lambda text: text if text == "earliest" else int(text), None),
+            "compact": (int, 0),
             "max_offsets": (str, None),
             "path_in": (str, None),
             "path_out": (str, None),
@@ -49,6 +51,7 @@ def main() -> None:
         conf["trigger"],
         conf["watermark"],
         conf["start"],
+        conf["compact"] == 1,
     ).awaitTermination()
 
 

@@ -1,11 +1,13 @@
 """DataFrame operators: counts, matrices, rankings, KPIs, features, checks."""
 
 from .affinity import segment_affinity, valid_log_rows
-from .checks import bucket_distribution, kind_checksums, reconcile
+from .checks import KindChecks, KindTotals, bucket_distribution, kind_checksums, reconcile
 from .features import (
     count_vector,
+    count_vector_sparse,
     feature_matrix,
     time_features,
+    to_dense,
     top_items,
     vocabulary,
 )
@@ -32,11 +34,14 @@ from .matrix import (
 )
 
 __all__ = [
+    "KindChecks",
+    "KindTotals",
     "count_map",
     "bucket_distribution",
     "count_long",
     "count_matrix",
     "count_vector",
+    "count_vector_sparse",
     "distinct_values",
     "explode_visits",
     "feature_matrix",
@@ -53,6 +58,7 @@ __all__ = [
     "shop_category_matrix",
     "sum_by_key",
     "time_features",
+    "to_dense",
     "to_long",
     "to_wide",
     "top_items",

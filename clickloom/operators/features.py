@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import (
@@ -30,11 +30,15 @@ def top_items(df: DataFrame, item: str, n: int = 1000) -> DataFrame:
         df.groupBy(item)
         .agg(F.count_if(F.col(item) != "null").alias("n"))
         .where(F.col("n") > 0)
-        .orderBy(F.col("n").desc(), F.col(item).asc())
-        .limit(n)
     )
+    return top_items_of_counts(counted, item, n)
+
+
+def top_items_of_counts(counted: DataFrame, item: str, n: int) -> DataFrame:
+    """``top_items`` of items that were counted already, each once."""
+    first = counted.orderBy(F.col("n").desc(), F.col(item).asc()).limit(n)
     # At most n rows are left, so one sorted array of them is bounded.
-    ordered = counted.agg(F.array_sort(F.collect_list(F.struct(item, "n"))).alias("items"))
+    ordered = first.agg(F.array_sort(F.collect_list(F.struct(item, "n"))).alias("items"))
     return ordered.select(F.posexplode("items").alias("idx", "top")).select("idx", "top.*")
 
 
@@ -58,36 +62,82 @@ def count_vector(
     zeros.  Counts are reduced per ``(row, position)`` first, so at most
     ``len(vocab)`` entries per row key are ever collected.
     """
-    size = len(vocab)
+    cells = _cells(df, row, item, vocab, broadcast_bytes)
+    collected = _collected(cells, row, element_type)
+    return collected.select(row, _dense("cells", F.lit(len(vocab)), element_type).alias(name))
+
+
+def count_vector_sparse(
+    df: DataFrame,
+    row: str,
+    item: str,
+    vocab: Sequence[str],
+    name: str = "domain_features",
+    element_type: str = "int",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """The vectors of ``count_vector`` as ``struct<size, indices, values>``: the entries that are not 0.
+
+    A row takes the room of the items it has, whatever the size of ``vocab``.
+    Indices ascend; a row without items of ``vocab`` has empty arrays.
+    """
+    collected = _collected(_cells(df, row, item, vocab, broadcast_bytes), row, element_type)
+    vector = F.struct(
+        F.lit(len(vocab)).alias("size"),
+        F.col("cells.idx").alias("indices"),
+        F.col("cells.n").alias("values"),
+    )
+    return collected.select(row, vector.alias(name))
+
+
+def to_dense(df: DataFrame, name: str = "domain_features") -> DataFrame:
+    """Sparse vectors to arrays with one entry per position, for a reader that needs them."""
+    element_type = df.schema[name].dataType["values"].dataType.elementType.simpleString()
+    fields = [F.col(f"{name}.{f}").alias(f) for f in ("indices", "values")]
+    cells = F.transform(
+        F.arrays_zip(*fields), lambda c: F.struct(c["indices"].alias("idx"), c["values"].alias("n"))
+    )
+    dense = _dense("_cells", F.col(f"{name}.size"), element_type)
+    return df.withColumn("_cells", cells).withColumn(name, dense).drop("_cells")
+
+
+def _cells(
+    df: DataFrame, row: str, item: str, vocab: Sequence[str], broadcast_bytes: int
+) -> DataFrame:
+    """``(row, idx, n)``: counts by place in ``vocab``, a null place for all other items."""
     lookup = df.sparkSession.createDataFrame(list(enumerate(vocab)), "idx int, _item string")
     lookup = lookup.withColumnRenamed("_item", item)
     rows = df.where(F.col(row).isNotNull()).select(row, item)
     if local_bytes(vocab) <= broadcast_bytes:
         placed = rows.join(F.broadcast(lookup), item, "left")
-        cells = placed.groupBy(row, "idx").agg(F.count("*").alias("n"))
-    else:
-        pairs = rows.groupBy(row, item).agg(F.count("*").alias("n"))
-        placed = salted_join(pairs, lookup, item, "left", spread=[row])
-        cells = placed.groupBy(row, "idx").agg(F.sum("n").alias("n"))
+        return placed.groupBy(row, "idx").agg(F.count("*").alias("n"))
+    pairs = rows.groupBy(row, item).agg(F.count("*").alias("n"))
+    placed = salted_join(pairs, lookup, item, "left", spread=[row])
+    return placed.groupBy(row, "idx").agg(F.sum("n").alias("n"))
 
+
+def _collected(cells: DataFrame, row: str, element_type: str) -> DataFrame:
+    """``(row, cells)``: the places and counts of each row, in order; never more than the vocabulary."""
     cell = F.struct(F.col("idx").alias("idx"), F.col("n").cast(element_type).alias("n"))
-    end = F.struct(F.lit(size).alias("idx"), F.lit(0).cast(element_type).alias("n"))
-    collected = cells.groupBy(row).agg(
+    return cells.groupBy(row).agg(
         F.array_sort(F.collect_list(F.when(F.col("idx").isNotNull(), cell))).alias("cells")
     )
+
+
+def _dense(cells: str, size: Column, element_type: str) -> Column:
+    end = F.struct(size.alias("idx"), F.lit(0).cast(element_type).alias("n"))
     # Each entry brings the zeros between it and its left neighbour; the end
     # marker brings the zeros after the last entry and is cut off again.
-    closed = F.concat(F.col("cells"), F.array(end))
+    closed = F.concat(F.col(cells), F.array(end))
 
     def run(entry, i):
         before = F.when(i == 0, F.lit(-1)).otherwise(
-            F.try_element_at(F.col("cells"), F.greatest(i, F.lit(1)))["idx"]
+            F.try_element_at(F.col(cells), F.greatest(i, F.lit(1)))["idx"]
         )
         zeros = F.array_repeat(F.lit(0).cast(element_type), entry["idx"] - before - F.lit(1))
         return F.concat(zeros, F.array(entry["n"]))
 
-    dense = F.slice(F.flatten(F.transform(closed, run)), 1, size)
-    return collected.select(row, dense.alias(name))
+    return F.slice(F.flatten(F.transform(closed, run)), F.lit(1), size)
 
 
 def time_features(visits: DataFrame, ts: str = "timestamp", uid: str = "uid") -> DataFrame:

@@ -53,17 +53,24 @@ def _differ_beyond_case(values: Sequence[str]) -> None:
 
 
 def to_wide(
-    counts: DataFrame, row: str, item: str, values: Sequence[str], n: str = "n"
+    counts: DataFrame,
+    row: str,
+    item: str,
+    values: Sequence[str],
+    n: str = "n",
+    gathered: bool = False,
 ) -> DataFrame:
     """Long counts to one column per value, in the given order, absent = 0.
 
     Only the sparse counts are shuffled, once, by ``row``; both aggregates of
-    the pivot then run in place.
+    the pivot then run in place.  ``gathered`` says that each row's counts lie
+    together already, as in a table bucketed by ``row``: nothing is shuffled.
     """
     if not values:
         return counts.select(row).distinct()
     _differ_beyond_case(values)
-    wide = counts.repartition(row).groupBy(row).pivot(item, list(values)).agg(F.sum(n))
+    placed = counts if gathered else counts.repartition(row)
+    wide = placed.groupBy(row).pivot(item, list(values)).agg(F.sum(n))
     names = [quoted(str(v)) for v in values]
     return wide.selectExpr(quoted(row), *[f"coalesce({v}, 0L) AS {v}" for v in names])
 

@@ -44,6 +44,38 @@ class Directory:
             for s in self._fs.listStatus(self._path)
         )
 
+    def files(self) -> list[str]:
+        """Names of the files directly here."""
+        if not self.exists():
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path) if s.isFile()]
+
+    def _file(self, name: str):
+        return self._spark._jvm.org.apache.hadoop.fs.Path(self._path, name)
+
+    def read_text(self, name: str) -> str:
+        """A small file of notes, whole."""
+        stream = self._fs.open(self._file(name))
+        try:
+            return self._spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_text(self, name: str, text: str) -> None:
+        stream = self._fs.create(self._file(name), True)
+        try:
+            stream.write(text.encode())
+        finally:
+            stream.close()
+
+    def rename_file(self, name: str, new: str) -> None:
+        """Rename a file here; never onto one that is there."""
+        if self._fs.exists(self._file(new)) or not self._fs.rename(self._file(name), self._file(new)):
+            raise FileExistsError(f"{join(self.path, new)} exists or cannot be written")
+
+    def delete_file(self, name: str) -> None:
+        self._fs.delete(self._file(name), False)
+
     def child(self, name: str) -> Directory:
         return Directory(self._spark, join(self.path, name))
 

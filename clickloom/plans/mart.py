@@ -7,9 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.mart import profile_mart, shop_categories, web_category_matrix
 from ..operators.matrix import count_long, distinct_values, to_wide
 from ..sinks.tables import SinkSpec, write_table
-from ..sources.paths import Directory, join, scratch_dir
+from ..sources.paths import Directory, join, pinned, scratch_dir
 from ..sources.tables import SourceSpec, read_table
-from .pinning import pinned
 
 
 def shop_matrix(visits: DataFrame, scratch: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from .files import (
     read_events_dir,
+    read_rejected,
     read_segment,
     read_split_events,
     read_user_visits,
@@ -29,6 +30,7 @@ __all__ = [
     "json_files",
     "latest_snapshot",
     "read_events_dir",
+    "read_rejected",
     "read_segment",
     "read_snapshot",
     "read_snapshot_counts",

@@ -1,0 +1,148 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom import schemas
+from clickloom.functions import decode_payload
+from clickloom.operators import latest_kpis, window_kpis
+from clickloom.plans import stream_kpis
+from clickloom.plans.stream_kpis import stream_origin
+from clickloom.sources import TopicSpec
+from clickloom.streaming import AVAILABLE_NOW, RevisionLog, read_compacted, write_topic_stream
+
+from .test_kpis import HOUR, START, as_dict, event, frame, write_batch
+
+
+def log_of(spark, tmp_path, **options):
+    return RevisionLog(spark, TopicSpec("t", "parquet", path=str(tmp_path / "log")), "k", **options)
+
+
+def batch(spark, values):
+    text = [(json.dumps({"k": k, "v": v}),) for k, v in values]
+    return spark.createDataFrame(text, "value string")
+
+
+def latest(log):
+    last = log.read().groupBy(F.get_json_object("value", "$.k").alias("k"))
+    rows = last.agg(F.max_by("value", "revision").alias("value")).collect()
+    return {int(r.k): json.loads(r.value)["v"] for r in rows}
+
+
+def test_runs_grow_with_the_logarithm_of_the_batches(spark, tmp_path):
+    log, expected = log_of(spark, tmp_path, fan=3), {}
+    for i in range(28):
+        # One window changes again and again, others come once.
+        values = [(0, i), (100 + i, i)]
+        log.append(batch(spark, values), i)
+        expected |= dict(values)
+        levels = [name.partition("/")[0] for name in log.store.latest().parts]
+        assert all(levels.count(x) < 3 for x in levels)
+        assert len(levels) <= 2 * 4
+    assert latest(log) == expected
+    # 28 = 1001 in base 3: a run of 27 batches and one of the last.
+    assert sorted(log.store.latest().parts) == ["0/000000000027-000000000027", "3/000000000000-000000000026"]
+    assert log.read().count() == 27 + 1 + 2
+    assert len(log.read().inputFiles()) <= 4
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    log = log_of(spark, tmp_path)
+    for i, v in ((0, 1), (1, 2), (1, 3), (0, 4), (2, 5)):
+        log.append(batch(spark, [(7, v)]), i)
+    assert latest(log) == {7: 5} and log.read().count() == 3
+
+
+def test_death_within_a_compaction(spark, tmp_path, monkeypatch):
+    log = log_of(spark, tmp_path, fan=2)
+    log.append(batch(spark, [(1, 1)]), 0)
+    whole = RevisionLog._compact
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(RevisionLog, "_compact", die)
+        with pytest.raises(RuntimeError):
+            log.append(batch(spark, [(1, 2), (2, 2)]), 1)
+    assert latest(log) == {1: 2, 2: 2}
+    assert RevisionLog._compact is whole
+    log.append(batch(spark, [(1, 2), (2, 2)]), 1)
+    log.append(batch(spark, [(3, 3)]), 2)
+    assert latest(log) == {1: 2, 2: 2, 3: 3}
+    assert len(log.store.latest().parts) == 1
+
+
+def test_empty_log_and_wrong_fan(spark, tmp_path):
+    assert log_of(spark, tmp_path).read().collect() == []
+    with pytest.raises(ValueError, match="fan"):
+        log_of(spark, tmp_path, fan=1)
+
+
+def run(spark, tmp_path, checkpoint="checkpoint", **options):
+    source = TopicSpec("in", "text", {"maxFilesPerTrigger": "1"}, str(tmp_path / "in"))
+    sink = TopicSpec("out", "parquet", path=str(tmp_path / "out"))
+    stream_kpis(spark, source, sink, str(tmp_path / checkpoint), trigger=AVAILABLE_NOW, compact=True, **options).awaitTermination()
+    updates = decode_payload(read_compacted(spark, sink, "start_ts"), schemas.KPI, keep=["revision"])
+    return as_dict(latest_kpis(updates, "revision")), RevisionLog(spark, sink, "start_ts")
+
+
+def test_compacted_stream_equals_batch_after_restarts(spark, tmp_path):
+    events = [event(START + i * 17 * 60_000, "buy" if i % 3 else "view", i) for i in range(60)]
+    for i in range(10):
+        write_batch(tmp_path / "in", f"{i}.txt", events[i * 6 : i * 6 + 6])
+        if i in (3, 9):
+            found, log = run(spark, tmp_path)
+    assert found == as_dict(window_kpis(frame(spark, events)))
+    # Ten batches are one run of eight and two single ones.
+    assert len(log.store.latest().parts) == 3
+    # After a lost checkpoint the stream counts from batch 0 again and is the newer one.
+    again, _ = run(spark, tmp_path, "other")
+    assert again == found
+
+
+def test_stream_from_the_earliest_event(spark, tmp_path):
+    """Windows stay where the first start put them; an earlier event lies in one before."""
+    first = START + 600_000
+    events = [event(first + HOUR + 5), event(first), event(first + HOUR - 1, "buy", 7), event(None)]
+    for i, one in enumerate(events):
+        write_batch(tmp_path / "in", f"{i}.txt", [one])
+    found, _ = run(spark, tmp_path, start="earliest")
+    assert found == as_dict(window_kpis(frame(spark, events), start="earliest"))
+    late = [event(first - 1, "buy", 5), event(first - 2 * HOUR), event(first + 5 * HOUR)]
+    write_batch(tmp_path / "in", "9.txt", late)
+    found, _ = run(spark, tmp_path, start="earliest")
+    assert found == as_dict(window_kpis(frame(spark, events + late), start=first))
+    assert {start - first // 1000 for start in found} == {-7200, -3600, 0, 3600, 5 * 3600}
+    source = TopicSpec("in", "text", path=str(tmp_path / "in"))
+    assert stream_origin(spark, source, str(tmp_path / "checkpoint")) == first
+    assert stream_origin(spark, source, str(tmp_path / "new")) == first - 2 * HOUR
+
+
+def test_origin_of_a_topic_that_is_empty_at_first(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    found, _ = run(spark, tmp_path, start="earliest")
+    assert found == {}
+    write_batch(tmp_path / "in", "0.txt", [event(None)])
+    write_batch(tmp_path / "in", "1.txt", [event(START + 77_000)])
+    found, _ = run(spark, tmp_path, start="earliest")
+    assert [*found] == [START // 1000 + 77]
+
+
+def test_origin_waits_for_the_first_event(spark, tmp_path):
+    import threading
+
+    (tmp_path / "in").mkdir()
+    late = threading.Timer(3, lambda: write_batch(tmp_path / "in", "0.txt", [event(START + 5)]))
+    late.start()
+    source = TopicSpec("in", "text", path=str(tmp_path / "in"))
+    assert stream_origin(spark, source, str(tmp_path / "checkpoint"), "0 seconds") == START + 5
+    assert not spark.streams.active
+
+
+def test_plain_file_topic_is_as_before(spark, tmp_path):
+    write_batch(tmp_path / "in", "0.txt", [event(START)])
+    source = spark.readStream.text(str(tmp_path / "in"))
+    sink = TopicSpec("out", "parquet", path=str(tmp_path / "out"))
+    write_topic_stream(source.withColumn("topic", F.lit("out")), sink, str(tmp_path / "c"), AVAILABLE_NOW).awaitTermination()
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["batch_id=0"]
