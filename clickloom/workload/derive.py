@@ -6,6 +6,8 @@ SQL.  Times are taken as UTC whatever the session time zone is.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,7 +92,9 @@ def shop_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_payload(shop_events(spark, sf_dir), EVENT.fieldNames())
 
 
-def mixed_messages(spark: SparkSession, sf_dir: str, bad_times: bool = False) -> DataFrame:
+def mixed_messages(
+    spark: SparkSession, sf_dir: str, bad_times: bool = False, keep: Sequence[str] = ()
+) -> DataFrame:
     """The events as messages with fractions: prices in hundredths, times with ``.0``.
 
     Every other message carries both as text.  With ``bad_times`` every tenth
@@ -115,7 +119,15 @@ def mixed_messages(spark: SparkSession, sf_dir: str, bad_times: bool = False) ->
         for around in [F.lit('"') if name in ("event_type", "uid") else quote]
     ]
     body = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}"))
-    return table(spark, sf_dir, "events").select(body.alias("value"))
+    return table(spark, sf_dir, "events").select(*keep, body.alias("value"))
+
+
+def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``mixed_messages`` with bad times, of which every seventh is cut off before its end."""
+    order = F.col("event_id") % 7 == 5
+    cut = F.when(order, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    messages = mixed_messages(spark, sf_dir, bad_times=True, keep=["event_id"])
+    return messages.select(cut.alias("value"))
 
 
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -219,6 +219,11 @@ UNION ALL BY NAME
 SELECT *, {no_shop} FROM ({WEB_MATRIX})"""
 
 
+FEATURES = f"""
+        SELECT m.*, v.domain_features, t.* EXCLUDE (uid)
+        FROM ({ITEM_MATRIX}) AS m
+        JOIN ({VECTORS}) AS v ON v.uid = m.uid
+        JOIN ({TIME_FEATURES}) AS t ON t.uid = m.uid"""
 AFFINITY_BRANDS = affinity("lines", "brand", [BRANDS])
 EVENT_SELECT = with_(SHOP, f" SELECT {SHOP_EVENT} FROM shop")
 
@@ -328,8 +333,10 @@ ORACLES: dict[str, str] = {
     "kpi_messages_shifted": kpis("timestamp - (timestamp - 5400000) % 7200000", 7_200_000),
     "stopped_streams": "SELECT CAST(2 AS BIGINT) AS n_stopped, CAST(0 AS BIGINT) AS n_left",
     "job_options": """
-        SELECT n_name AS name, row_number() OVER (ORDER BY n_name) - 1 AS value FROM nation
-        UNION ALL SELECT 'missing', -1""",
+        SELECT event_type AS name, n AS value, CAST(count(*) FILTER (event_id < n) AS BIGINT) AS n_below
+        FROM events JOIN (SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1) USING (event_type)
+        GROUP BY 1, 2
+        UNION ALL SELECT 'missing', -1, 0""",
     "domain_hosts": with_(
         WEBLOG,
         """
@@ -403,6 +410,46 @@ ORACLES: dict[str, str] = {
                event_type IN ('view', 'buy') AS agree
         FROM (SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM shop GROUP BY event_type)""",
     ),
+    "split_versions": with_(
+        SHOP,
+        """
+        SELECT category, event_type, item_id, CAST(item_price AS VARCHAR) AS item_price,
+               timestamp, uid, date, date AS p_date, event_type AS kind
+        FROM shop WHERE event_type IN ('view', 'buy')""",
+    ),
+    "rejected_messages": """
+        SELECT kind, reason, CAST(count(*) AS BIGINT) AS n
+        FROM (SELECT CASE WHEN reason IS NULL THEN kind END AS kind, reason
+              FROM (SELECT CASE event_type WHEN 'purchase' THEN 'buy' ELSE event_type END AS kind,
+                           CASE WHEN event_id % 7 = 5 THEN 'broken JSON'
+                                WHEN event_type NOT IN ('view', 'purchase') THEN 'unknown kind'
+                                WHEN event_id % 10 = 3 THEN 'bad time' END AS reason
+                    FROM events))
+        GROUP BY 1, 2""",
+    "kind_checksums_observed": with_(
+        SHOP,
+        """
+        SELECT event_type, CAST(count(*) AS BIGINT) AS n_rows,
+               CAST(sum(item_price) AS BIGINT) AS price_checksum
+        FROM shop GROUP BY event_type""",
+    ),
+    "kpis_stream_from_earliest": kpis(
+        "(timestamp - (timestamp - (SELECT min(timestamp) FROM shop)) % 3600000)", 3_600_000
+    ),
+    "kpis_compacted": HOURLY,
+    "users_items_partition_store": with_(SHOP, " " + ITEM_MATRIX),
+    "top_domains_incremental": with_([VISITS, VOCAB], " SELECT idx, domain, n FROM vocab"),
+    "domain_vector_sparse": with_(
+        [VISITS, VOCAB],
+        f"""
+        SELECT d.uid, d.domain_features, coalesce(s.indices, '') AS indices, coalesce(s.counts, '') AS counts
+        FROM ({VECTORS}) AS d LEFT JOIN (
+          SELECT uid, string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS indices,
+                 string_agg(CAST(c AS VARCHAR), ',' ORDER BY idx) AS counts
+          FROM (SELECT uid, idx, count(*) AS c FROM visits JOIN vocab USING (domain) GROUP BY uid, idx)
+          GROUP BY uid) AS s USING (uid)""",
+    ),
+    "feature_matrix_bucketed": with_([VISITS, SHOP, VOCAB], FEATURES),
     "hourly_kpis": HOURLY,
     "kpi_messages_batch": HOURLY,
     "hourly_kpis_stream": HOURLY,
@@ -444,12 +491,5 @@ ORACLES: dict[str, str] = {
     "top_domains": with_([VISITS, VOCAB], " SELECT idx, domain, n FROM vocab"),
     "domain_vector": with_([VISITS, VOCAB], VECTORS),
     "domain_vector_large_vocabulary": with_([VISITS, VOCAB], VECTORS),
-    "feature_matrix": with_(
-        [VISITS, SHOP, VOCAB],
-        f"""
-        SELECT m.*, v.domain_features, t.* EXCLUDE (uid)
-        FROM ({ITEM_MATRIX}) AS m
-        JOIN ({VECTORS}) AS v ON v.uid = m.uid
-        JOIN ({TIME_FEATURES}) AS t ON t.uid = m.uid""",
-    ),
+    "feature_matrix": with_([VISITS, SHOP, VOCAB], FEATURES),
 }

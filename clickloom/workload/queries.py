@@ -6,6 +6,7 @@ Each runs one operator, or one job, over the whole derived input.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,18 +31,24 @@ from ..plans import (
     kpi_messages,
     pinned_visits,
     split_events,
+    split_topic,
+    store_matrix,
     stream_kpis,
+    update_count_store,
 )
-from ..plans.features import visit_domains
+from ..plans.features import read_feature_tables, visit_domains, write_feature_tables
 from ..plans.mart import shop_matrix as pinned_shop_matrix
+from ..plans.stream_kpis import WINDOW_KEY
 from ..plans.users_items import update_users_items
+from ..plans.vocabulary import add_dates, top_items_by_date
 from ..sinks import SinkSpec, split_by_kind, write_ranked, write_snapshot, write_table
-from ..sinks.split import KINDS, PARTITIONS, dated_events
+from ..sinks.split import KINDS, PARTITIONS, VERSIONS, dated_events
 from ..sources import (
     SourceSpec,
     TopicSpec,
     latest_snapshot,
     read_events_dir,
+    read_rejected,
     read_snapshot_counts,
     read_segment,
     read_snapshot,
@@ -53,7 +60,7 @@ from ..sources import (
 )
 from ..sources.files import kind_items
 from ..sources.paths import join, pinned, scratch_dir
-from ..streaming import AVAILABLE_NOW, read_updates, stop_streams, write_topic_stream
+from ..streaming import AVAILABLE_NOW, read_compacted, read_updates, stop_streams, write_topic_stream
 from . import derive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +70,8 @@ QUERIES: dict[str, Query] = {}
 VECTOR_SIZE = 10
 SPLIT_DATE = "20240120"
 LATER_DATE = "20240125"
+# Kinds of the events table, purchases under the name the jobs use.
+EVENT_KINDS = ("buy", "click", "error", "signup", "view")
 TOPIC_PARTITIONS = 3
 TOPIC_OFFSET = 100
 
@@ -334,6 +343,37 @@ def split_with_bad_times(spark, sf_dir):
     return lines.groupBy("event_type", "date").agg(F.count("*").alias("n"))
 
 
+@query
+def split_versions(spark, sf_dir):
+    """The split output published by manifests: a first half, then all events in its place."""
+    path = join(scratch_dir(spark), "visits")
+    events = derive.shop_events(spark, sf_dir)
+    for part in (events.where(event_date(F.col("timestamp")) < SPLIT_DATE), events):
+        split_by_kind(part, path, layout=VERSIONS)
+    return read_split_events(spark, path, KINDS).withColumn("kind", F.col("event_type"))
+
+
+@query
+def rejected_messages(spark, sf_dir):
+    """A topic with broken, unknown and wrongly timed messages: every one is accepted or kept with its reason."""
+    path = join(scratch_dir(spark), "topic")
+    derive.faulty_messages(spark, sf_dir).write.text(path)
+    out = join(scratch_dir(spark), "visits")
+    split_topic(spark, TopicSpec("shop", "text", path=path), out)
+    accepted = read_split_events(spark, out, KINDS).select(F.col("event_type").alias("kind"), F.lit(None).cast("string").alias("reason"))
+    rejected = read_rejected(spark, out).select(F.lit(None).cast("string").alias("kind"), "reason")
+    return accepted.unionByName(rejected).groupBy("kind", "reason").agg(F.count("*").alias("n"))
+
+
+@query
+def kind_checksums_observed(spark, sf_dir):
+    """Rows and price sums per kind, taken while the split output is written."""
+    checks = op.KindChecks(EVENT_KINDS)
+    events = checks.watch(derive.shop_events(spark, sf_dir))
+    split_by_kind(events, join(scratch_dir(spark), "visits"), layout=VERSIONS)
+    return checks.result(spark)
+
+
 @query
 def reconcile_bad_times(spark, sf_dir):
     """The same messages sent and received, per kind."""
@@ -376,6 +416,31 @@ def kpis_from_earliest(spark, sf_dir):
     return op.window_kpis(derive.shop_events(spark, sf_dir), start="earliest")
 
 
+@query
+def kpis_stream_from_earliest(spark, sf_dir):
+    """The streaming job with windows that begin at the first event; last revision per window."""
+    sink = TopicSpec("kpis", "parquet", path=join(scratch_dir(spark), "kpis"))
+    checkpoint = join(scratch_dir(spark), "checkpoint")
+    topic = _message_topic(spark, sf_dir)
+    running = stream_kpis(spark, topic, sink, checkpoint, trigger=AVAILABLE_NOW, start="earliest")
+    running.awaitTermination()
+    updates = decode_payload(read_updates(spark, sink), schemas.KPI, keep=["batch_id"])
+    return op.latest_kpis(updates)
+
+
+@query
+def kpis_compacted(spark, sf_dir):
+    """The streaming job in many small batches, its revisions compacted by window start."""
+    sink = TopicSpec("kpis", "parquet", path=join(scratch_dir(spark), "kpis"))
+    checkpoint = join(scratch_dir(spark), "checkpoint")
+    topic = _message_topic(spark, sf_dir)
+    topic = replace(topic, options={"maxFilesPerTrigger": "1"})
+    running = stream_kpis(spark, topic, sink, checkpoint, trigger=AVAILABLE_NOW, compact=True)
+    running.awaitTermination()
+    updates = decode_payload(read_compacted(spark, sink, WINDOW_KEY), schemas.KPI, keep=["revision"])
+    return op.latest_kpis(updates, "revision")
+
+
 @query
 def half_hour_shifted_kpis(spark, sf_dir):
     """Two-hour windows aligned to half past an odd hour."""
@@ -420,16 +485,18 @@ def stopped_streams(spark, sf_dir):
 
 @query
 def job_options(spark, sf_dir):
-    """Options set from the nations, read back with their types."""
-    names = [r["n_name"] for r in derive.table(spark, sf_dir, "nation").orderBy("n_name").collect()]
-    options = {}
-    for i, name in enumerate(names):
-        spark.conf.set(f"spark.nations.{name}", str(i))
-        options[name] = (int, None)
-    found = job_conf(spark, "spark.nations", options | {"missing": (int, -1)})
-    for name in names:
-        spark.conf.unset(f"spark.nations.{name}")
-    return spark.createDataFrame(sorted(found.items()), "name string, value bigint")
+    """A job steered by its options: per event kind an id, read back with its type, up to which events count."""
+    events = derive.table(spark, sf_dir, "events")
+    # One row per kind of event.
+    sizes = {r["event_type"]: r["n"] for r in events.groupBy("event_type").agg(F.count("*").alias("n")).collect()}
+    for kind, n in sizes.items():
+        spark.conf.set(f"spark.kinds.{kind}", str(n))
+    options = job_conf(spark, "spark.kinds", {kind: (int, None) for kind in sizes} | {"missing": (int, -1)})
+    for kind in sizes:
+        spark.conf.unset(f"spark.kinds.{kind}")
+    limits = spark.createDataFrame(list(options.items()), "event_type string, option bigint")
+    steered = limits.join(events, "event_type", "left").groupBy(F.col("event_type").alias("name"), F.col("option").alias("value"))
+    return steered.agg(F.count_if(F.col("event_id") < F.col("option")).alias("n_below"))
 
 
 @query
@@ -599,6 +666,18 @@ def _update_all(spark, parts: list[DataFrame], **options) -> str:
     return snapshots
 
 
+@query
+def users_items_partition_store(spark, sf_dir):
+    """Four updates of the count store: early and newest days, the days between, the newest once more."""
+    early, late, newest = _dated_parts(spark, sf_dir, [SPLIT_DATE, LATER_DATE])
+    scratch = scratch_dir(spark)
+    store = join(scratch, "store")
+    for i, part in enumerate((early, newest, late, newest)):
+        split_by_kind(part, join(scratch, f"part-{i}"), layout=VERSIONS)
+        update_count_store(spark, join(scratch, f"part-{i}"), store)
+    return store_matrix(spark, store)
+
+
 @query
 def users_items_late_batch(spark, sf_dir):
     """The middle days come last; the newest snapshot has all of them."""
@@ -674,6 +753,29 @@ def _as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("domain_features", vector)
 
 
+@query
+def top_domains_incremental(spark, sf_dir):
+    """The most visited domains from dated summaries, added date range by date range, some dates twice."""
+    root = join(scratch_dir(spark), "vocabulary")
+    visits = pinned(_visits(spark, sf_dir), scratch_dir(spark))
+    dated = visits.select(event_date(F.col("timestamp")).alias("date"), F.col("domain").alias("item"))
+    for low, high in (("0", SPLIT_DATE), (SPLIT_DATE, "99999999"), (SPLIT_DATE, LATER_DATE)):
+        add_dates(dated.where((F.col("date") >= low) & (F.col("date") < high)), root, VECTOR_SIZE)
+    return top_items_by_date(spark, root, VECTOR_SIZE).withColumnRenamed("item", "domain")
+
+
+@query
+def domain_vector_sparse(spark, sf_dir):
+    """The non-zero entries of the vectors, and the vectors made dense again, as text."""
+    visits = pinned(_visits(spark, sf_dir), scratch_dir(spark))
+    vocab = op.vocabulary(visits, "domain", VECTOR_SIZE)
+    sparse = op.count_vector_sparse(visits, "uid", "domain", vocab)
+    vector = F.col("domain_features")
+    parts = {"indices": vector["indices"], "counts": vector["values"]}
+    texts = [F.array_join(a.cast("array<string>"), ",").alias(name) for name, a in parts.items()]
+    return _as_text(op.to_dense(sparse.select("uid", *texts, "domain_features")))
+
+
 @query
 def domain_vector(spark, sf_dir):
     """Vectors over the ten most visited domains, array joined to text."""
@@ -697,3 +799,13 @@ def feature_matrix(spark, sf_dir):
         derive.user_visits(spark, sf_dir), join(scratch_dir(spark), "visit-domains")
     )
     return _as_text(feature_table(users_items_wide(spark, sf_dir), visits, VECTOR_SIZE))
+
+
+@query
+def feature_matrix_bucketed(spark, sf_dir):
+    """The feature table from three tables bucketed by user: none of them is shuffled again."""
+    scratch = scratch_dir(spark)
+    visits = pinned_visits(derive.user_visits(spark, sf_dir), join(scratch, "visit-domains"))
+    counts = op.count_long(_kind_items(spark, sf_dir), "uid", "item_id")
+    write_feature_tables(counts, visits, join(scratch, "tables"), VECTOR_SIZE, buckets=8)
+    return _as_text(read_feature_tables(spark, join(scratch, "tables")))
