@@ -18,6 +18,7 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -111,12 +112,12 @@ class Model:
     def space(self) -> str:
         return MARK if self.escape else " "
 
-    @property
+    @cached_property
     def splits(self) -> bool:
         """Whether every piece has its markers at its start only."""
         return not any(self.space in p.lstrip(self.space) for p, _, kind in self.pieces if kind == NORMAL)
 
-    @property
+    @cached_property
     def by_word(self) -> bool:
         """Whether a text can be cut before its runs of spaces and each cut encoded alone."""
         return self.splits and self.escape and self.dummy_prefix and not self.squeeze and not self.charsmap
@@ -232,6 +233,14 @@ class Built:
     bytes: Memo
     opens: np.ndarray
     marks: np.ndarray
+    content: bytes
+
+    @cached_property
+    def reference(self):
+        """The reference library's own reading of the model."""
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_proto=self.content)
 
 
 _built: dict[bytes, Built] = {}
@@ -246,7 +255,7 @@ def built(content: bytes, threads: int) -> Built:
         opens = np.array([p.startswith(model.space) for p, _, _ in model.pieces])
         marks = np.array([bool(p) and not p.strip(model.space) for p, _, _ in model.pieces])
         _built.clear()
-        _built[content] = Built(model, build(model), build(model, words=True), Memo(np.int32), Memo(np.uint8), opens, marks)
+        _built[content] = Built(model, build(model), build(model, words=True), Memo(np.int32), Memo(np.uint8), opens, marks, content)
     return _built[content]
 
 
@@ -381,10 +390,8 @@ def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out: str
     content = model_bytes(docs.sparkSession, path)
 
     def work(column):
-        import sentencepiece
-
         own = built(content, threads)
-        other = sentencepiece.SentencePieceProcessor(model_proto=content) if checks else None
+        other = own.reference if checks else None
         _, offsets = texts(column)
         ids, sizes, fine = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros((0, 2), bool)]
         for low, high in blocks(offsets, BATCH_BYTES):
