@@ -24,6 +24,8 @@ WINDOW = 10
 GRAM = 5
 #: Benchmark text sent to the executors at once; more goes in further blocks.
 BLOCK_BYTES = 8 << 20
+#: Document text taken at once.
+TEXT_BYTES = 1 << 20
 
 
 @dataclass
@@ -117,7 +119,7 @@ def _pass(sent):
     def work(column, old_spans=None, old_items=None):
         known, item_of, ids = sent.value
         n_words, all_spans, all_items = [], [], []
-        for low, high, words in word_blocks(column):
+        for low, high, words in word_blocks(column, TEXT_BYTES):
             grams = Grams(words.hash)
             edge = np.zeros(len(words.hash) + 1, np.int64)
             pairs = [np.zeros((0, 2), np.int64)]
