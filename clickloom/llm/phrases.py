@@ -63,12 +63,16 @@ def slot_map(df: DataFrame, slots: int, min_count: int) -> DataFrame:
     return pin(full.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "bits"))), lambda x: x["bits"]).alias("bits")))
 
 
-def _set(bits: DataFrame, slots: int, *words: str) -> Column:
-    """Whether the bit of the words' hash is set."""
-    slot = _hash(*words).bitwiseAND(slots - 1)
+def in_map(bits: DataFrame, slots: int, hashed: Column) -> Column:
+    """Whether the bit of a hash is set."""
+    slot = hashed.bitwiseAND(slots - 1)
     return F.getbit(F.get(bits.scalar(), F.shiftright(slot, 6).cast("int")), slot.bitwiseAND(63).cast("int")) == 1
 
 
+def _set(bits: DataFrame, slots: int, *words: str) -> Column:
+    return in_map(bits, slots, _hash(*words))
+
+
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, slots: int = SLOTS) -> DataFrame:
     """(lang, words, f): every phrase of at most ``max_words`` words met ``min_count`` times; no words: all words of the language."""
     words = piece_words(docs, text_col, lang_col)

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.llm import quality, toxicity
 from clickloom.llm.common import Words, texts
@@ -95,6 +96,49 @@ def test_a_fixed_phrase_tells_though_its_words_have_one_neighbour(spark):
     assert (found.score.to_numpy()[held & (y == 0)] >= 0.5).mean() < 0.02
 
 
+def test_all_labelled_rows_are_counted(spark):
+    """More rows of each label than were once drawn, each with a word of its own."""
+    n = 24_000
+    docs = spark.createDataFrame([(i, f"w{i % 7} own{i} w{i % 11}") for i in range(n)], "doc_id long, text string")
+    marks = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    models = toxicity.fit(docs, marks)
+    part = docs.select("doc_id", (toxicity.chance(F.col("doc_id"), 12) >= toxicity.TUNING).alias("counted")).collect()
+    learned = [r.doc_id for r in part if r.counted and zlib.crc32(str(r.doc_id).encode()) % 5]
+    own = Words(*texts(__import__("pyarrow").array([f"own{i}" for i in learned])))
+    assert len(learned) > 15_000 and np.isin(own.hash, models.words).all() and len(models.words) == len(learned) + 11
+    # Plain counts of distinct left neighbours, discounted in full, give the same weights.
+    left = [{}, {}]
+    for i in learned:
+        words = ["", f"w{i % 7}", f"own{i}", f"w{i % 11}"]
+        for a, b in zip(words, words[1:]):
+            left[i % 2].setdefault(b, set()).add(a)
+    names = sorted(left[0].keys() | left[1].keys())
+    both = np.array([len(left[0].get(w, set()) | left[1].get(w, set())) for w in names])
+    shared = (both + 0.5) / (both.sum() + 0.5 * len(both))
+    gain = 0
+    for sign, side in ((-1, left[0]), (1, left[1])):
+        c = np.array([len(side.get(w, ())) for w in names])
+        less = np.array([0, *toxicity.discounts([(c == k).sum() for k in (1, 2, 3, 4)])])
+        kept = (c - less[np.minimum(c, 3)]) / c.sum()
+        gain = gain + sign * np.log(kept + (1 - kept.sum()) * shared)
+    at = np.searchsorted(models.words, Words(*texts(__import__("pyarrow").array(names))).hash)
+    assert np.allclose(models.gain[at], gain)
+
+
+def test_words_that_are_not_sent_count_too(spark):
+    train = training_rows()
+    # Rare words, copies and odd rows.
+    docs = spark.createDataFrame([(i, f"{t} rare{i % 30}") for i, t in train] + ODD + [(300 + i, train[1][1]) for i in range(50)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in train], "doc_id long, toxic int")
+    all_sent = toxicity.fit(docs, marks)
+    assert all_sent.rest is None
+    for bound in (0, 10):
+        models = toxicity.fit(docs, marks, max_words=bound)
+        assert len(models.words) <= bound and len(models.words) + models.rest.count() == len(all_sent.words)
+        expected, got = ([sorted(map(repr, toxicity.score(docs, m).selectExpr("doc_id", "text", "round(score, 9)").collect()))] for m in (all_sent, models))
+        assert got == expected
+
+
 def test_evidence_is_the_largest_mean_of_a_run():
     rows = ["a b c d e", "", "c", "b c"]
     words = Words(*texts(__import__("pyarrow").array(rows)))
