@@ -8,7 +8,8 @@ so the text is cut there into words first and each distinct word is encoded
 once for as long as a worker remembers it; else whole texts are encoded.  Words
 are told apart by their bytes.  Where checks are asked for, the reference library
 encodes the whole text, and the ids of the whole text are decoded and compared
-with it, in the same pass.
+with it, in the same pass: by the bytes that the library decodes each id to, and by
+the library itself where these are not the text.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ MODEL_BYTES = 64 << 20
 BATCH_BYTES = 1 << 20
 BATCH_ROWS = 10_000
 DECODE_ROWS = 1000
+JOINED_WORDS = 256
 THREADS = 2
 #: Bytes of distinct words and their ids that a worker remembers; when full it starts anew.
 MEMO_BYTES = 32 << 20
@@ -199,7 +201,7 @@ class Memo:
         """The place of each of the distinct ``words``; ``make(new)`` gives the data and sizes of new ones."""
         if self.held > self.limit:
             self.clear()
-        at = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(at < 0)
         if len(new):
             fresh = [words[i] for i in new.tolist()]
@@ -229,12 +231,23 @@ class Built:
     model: Model
     texts: Tokenizer
     words: Tokenizer
+    joined: Tokenizer
     ids: Memo
     bytes: Memo
     opens: np.ndarray
     marks: np.ndarray
     content: bytes
 
+    @cached_property
+    def spelled(self) -> Memo:
+        """The bytes that the library decodes each id to, behind a word; those of a byte piece are its byte."""
+        ahead = self.words.encode(f"{MARK}a").ids
+        found = self.texts.decode_batch([[*ahead, i] for i in range(len(self.model.pieces))], skip_special_tokens=False)
+        rows = [bytes([int(p[3:-1], 16)]) if kind == BYTE else x.encode()[1:] for x, (p, _, kind) in zip(found, self.model.pieces, strict=True)]
+        out = Memo(np.uint8)
+        out.get(list(map(str.encode, map(str, range(len(rows))))), lambda new: (np.frombuffer(b"".join(rows), np.uint8), np.fromiter(map(len, rows), np.int64, len(rows))))
+        return out
+
     @cached_property
     def reference(self):
         """The reference library's own reading of the model."""
@@ -255,7 +268,9 @@ def built(content: bytes, threads: int) -> Built:
         opens = np.array([p.startswith(model.space) for p, _, _ in model.pieces])
         marks = np.array([bool(p) and not p.strip(model.space) for p, _, _ in model.pieces])
         _built.clear()
-        _built[content] = Built(model, build(model), build(model, words=True), Memo(np.int32), Memo(np.uint8), opens, marks, content)
+        joined = build(model, words=True)
+        joined.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
+        _built[content] = Built(model, build(model), build(model, words=True), joined, Memo(np.int32), Memo(np.uint8), opens, marks, content)
     return _built[content]
 
 
@@ -269,17 +284,43 @@ def encode_all(tokenizer: Tokenizer, rows: list[str]) -> tuple[np.ndarray, np.nd
     return np.concatenate(ids), np.concatenate(sizes)
 
 
+def encode_distinct(own: Built, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """As ``encode_all``, of words that start with a space.
+
+    Those with no other space or marker are joined and the library cuts them
+    apart again; where a piece opens with a marker, a word starts.  Others are
+    given to it one by one.
+    """
+    mark = MARK.encode()
+    parts = [words[i : i + JOINED_WORDS] for i in range(0, len(words), JOINED_WORDS)]
+    texts = [b"".join(part) for part in parts]
+    plain = [text.count(b" ") == len(part) and mark not in text for text, part in zip(texts, parts, strict=True)]
+    joined = iter(own.joined.encode_batch_fast([x.replace(b" ", mark).decode() for x, fits in zip(texts, plain, strict=True) if fits], add_special_tokens=False))
+    ids, sizes = [], []
+    for part, fits in zip(parts, plain, strict=True):
+        found = np.array(next(joined).ids if fits else [], np.int32)
+        starts = np.flatnonzero(own.opens[found])
+        # Without a piece for the marker a word may not open with one.
+        if fits and len(starts) == len(part) and starts[0] == 0:
+            n = np.diff(np.append(starts, len(found)))
+        else:
+            found, n = encode_all(own.words, [w.decode().replace(" ", MARK) for w in part])
+        ids.append(found)
+        sizes.append(n)
+    return np.concatenate(ids), np.concatenate(sizes)
+
+
 def agree(other, rows: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Whether the reference library gives each row these ids."""
     ends = np.concatenate(([0], np.cumsum(sizes)))
     out = np.ones(len(rows), bool)
     for i in range(0, len(rows), BATCH_ROWS):
-        found = other.encode(rows[i : i + BATCH_ROWS], num_threads=1)
-        flat = np.fromiter(chain.from_iterable(found), np.int32)
+        found = other.encode(rows[i : i + BATCH_ROWS], num_threads=1, return_type="numpy")
+        flat = np.concatenate(found)
         length = np.fromiter(map(len, found), np.int64, len(found))
         own = ids[ends[i] : ends[i + len(found)]]
         if not np.array_equal(length, sizes[i : i + len(found)]) or not np.array_equal(flat, own):
-            out[i : i + len(found)] = [x == ids[a:b].tolist() for x, a, b in zip(found, ends[i:], ends[i + 1 :])]
+            out[i : i + len(found)] = [np.array_equal(x, ids[a:b]) for x, a, b in zip(found, ends[i:], ends[i + 1 :])]
     return out
 
 
@@ -321,7 +362,7 @@ def encode_words(own: Built, data: np.ndarray, offsets: np.ndarray) -> tuple[np.
     data, starts, first = cut_words(data, offsets)
     ends = np.append(starts[1:], len(data))[: len(starts)]
     words, inverse = distinct(binaries(data, starts, ends))
-    at = own.ids.get(words, lambda new: encode_all(own.words, [w.decode().replace(" ", MARK) for w in new]))
+    at = own.ids.get(words, lambda new: encode_distinct(own, new))
     ids, ends = own.ids.spread(at[inverse])
     return ids, np.diff(ends[first])
 
@@ -338,20 +379,36 @@ def parts_of(text: str, limit: int) -> list[str]:
     return [*out, text[low:]] if low else [text]
 
 
+def spells(own: Built, rows: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the bytes of each row's ids, less the dummy prefix, are the row's text (a literal marker a space).
+
+    The library decodes such ids to just that text: the bytes are its own of each
+    id, and those of byte pieces are valid UTF-8 together.
+    """
+    data, ends = own.spelled.spread(ids)
+    bounds = ends[np.concatenate(([0], np.cumsum(sizes)))]
+    data = data.tobytes()
+    texts = (b" " + x.replace(MARK, " ").encode() if x else b"" for x in rows)
+    return np.fromiter((data[a:b] == x for a, b, x in zip(bounds[:-1].tolist(), bounds[1:].tolist(), texts, strict=True)), bool, len(rows))
+
+
 def check(own: Built, other, rows: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Per row, whether the reference library gives these ids for the whole text, and whether they decode to it.
 
     A literal marker decodes to the space that it stands for; a model that
     normalises gives the text as the reference library gives it back.
     """
-    same = agree(other, rows, ids, sizes)
-    back, ends = [], np.concatenate(([0], np.cumsum(sizes)))
-    for i in range(0, len(rows), DECODE_ROWS):
-        cuts = ends[i : i + DECODE_ROWS + 1]
-        lists = [x.tolist() for x in np.split(ids[cuts[0] : cuts[-1]], cuts[1:-1] - cuts[0])]
-        back += own.texts.decode_batch(lists, skip_special_tokens=False)
-    expected = (x.replace(MARK, " ") for x in rows) if own.model.by_word else map(other.decode, map(other.encode, rows))
-    return np.stack([same, np.fromiter((a == b for a, b in zip(back, expected, strict=True)), bool, len(rows))], axis=1)
+    same, back = agree(other, rows, ids, sizes), np.zeros(len(rows), bool)
+    if own.model.by_word:
+        back = spells(own, rows, ids, sizes)
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    left = np.flatnonzero(~back).tolist()
+    for i in range(0, len(left), DECODE_ROWS):
+        some = left[i : i + DECODE_ROWS]
+        found = own.texts.decode_batch([ids[ends[j] : ends[j + 1]].tolist() for j in some], skip_special_tokens=False)
+        for j, text in zip(some, found, strict=True):
+            back[j] = text == (rows[j].replace(MARK, " ") if own.model.by_word else other.decode(other.encode(rows[j])))
+    return np.stack([same, back], axis=1)
 
 
 def decode_words(own: Built, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:

@@ -8,7 +8,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import texts
-from clickloom.llm.pieces import MARK, MODEL, Memo, Model, build, built, check, decode, encode, encode_and_check, encode_words, model_bytes, parts_of
+from clickloom.llm.pieces import MARK, MODEL, Memo, Model, build, built, check, decode, encode, encode_and_check, encode_distinct, encode_words, model_bytes, parts_of, spells
 from clickloom.llm.queries import op6_sentencepiece
 
 SF = "/root/testdata/sf0.001"
@@ -126,6 +126,29 @@ def test_a_memo_that_is_full_starts_anew():
     assert made == [[b"1", b"2"], [b"3"], [b"4"], [b"1"]]
 
 
+def test_words_encoded_together_have_the_ids_of_each(other):
+    own = built(open(MODEL, "rb").read(), 1)
+    rng = random.Random(3)
+    plain = [" " + "".join(rng.choices("abeht\n\x00é日🙂.<", k=rng.randint(0, 9))) for _ in range(700)]
+    odd = ["  a", f" x{MARK}", f" {MARK}{MARK}y", "   "]
+    for words in (plain, plain[:300] + odd + plain[300:], odd):
+        ids, sizes = encode_distinct(own, [w.encode() for w in words])
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [own.words.encode(w.replace(" ", MARK)).ids for w in words]
+
+
+def test_texts_that_come_back_are_not_decoded_again(other, monkeypatch):
+    """The library is asked only for rows whose ids do not spell the text."""
+    own = built(open(MODEL, "rb").read(), 1)
+    rows = [t or "" for t in TEXTS]
+    ids, sizes = encode_words(own, *texts(pa.array(rows, pa.large_string())))
+    assert spells(own, rows, ids, sizes).all()
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    back = own.texts.decode_batch([ids[a:b].tolist() for a, b in zip(ends, ends[1:])], skip_special_tokens=False)
+    assert back == [t.replace(MARK, " ") for t in rows]
+    monkeypatch.setattr(own, "texts", None)
+    assert check(own, other, rows, ids, sizes).all()
+
+
 def test_odd_rows_of_the_checked_operator(spark, other):
     docs = spark.createDataFrame([(t, 1, False) for t in [*TEXTS, "long " * 500_000 + "end"]], "text string, token_ids int, Parity boolean")
     for r in encode_and_check(docs).collect():
