@@ -15,11 +15,13 @@ only leave windows longer than need be; the counts of all phrases met
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.lookups import salted_join
-from .common import pin
+from .common import pin, texts, with_columns
 
 MIN_COUNT = 30
 MAX_WORDS = 4
@@ -29,15 +31,24 @@ SLOTS = 1 << 25
 #: Hashes that are counted: a power of two, so that bits are hashes cut off.
 HASHES = 1 << 40
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_ENDS = ".,;:!?\n\x0b\x0c\r"
+# What each byte of a text becomes; bytes of characters beyond ASCII stay.
+_FOLDED = np.arange(256, dtype=np.uint8)
+_FOLDED[ord("A") : ord("Z") + 1] += 32
+_FOLDED[ord("\t")] = ord(" ")
+_FOLDED[list(b".,;:!?\n\x0b\x0c\r")] = ord("\n")
+
+
+def _plain(column: pa.Array) -> list[pa.Array]:
+    """The texts in lower case (A-Z), with a line break at each end of a piece and blanks for tabs; null is empty."""
+    data, offsets = texts(column)
+    return [pa.StringArray.from_buffers(len(column), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(_FOLDED[data]))]
 
 
 def piece_words(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, w): the words of every piece of text, as an array."""
-    plain = F.translate(F.coalesce(F.col(text_col), F.lit("")), _UPPER + "\t" + _ENDS, _UPPER.lower() + " " + "\n" * len(_ENDS))
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang")
-    pieces = docs.select(lang, F.explode(F.split(plain, "\n")).alias("piece"))
+    plain = with_columns(docs.select(lang, F.col(text_col).alias("text")), ["text"], _plain, "text string")
+    pieces = plain.select("lang", F.explode(F.split("text", "\n")).alias("piece"))
     return pieces.select("lang", F.array_remove(F.split("piece", " "), "").alias("w"))
 
 

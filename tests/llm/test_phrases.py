@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from clickloom.llm.phrases import collocations, frequent_phrases, windows
+from clickloom.llm.phrases import collocations, frequent_phrases, piece_words, windows
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -103,3 +103,16 @@ def test_arithmetic_passes_64_bits(spark):
     phrases = phrases.withColumn("key", _key(F.col("words")))
     (row,) = _best_cuts(phrases.where(F.size("words") == 2).withColumnRenamed("f", "a"), phrases).collect()
     assert (row.l, row.r, row.score) == (big, big + 1, 2_000_000 * big // (2 * big + 1))
+
+
+def test_pieces_and_words_of_every_kind_of_character(spark):
+    """Only A-Z is lowered, only the listed characters cut, bytes of longer characters are left alone."""
+    every = "".join(map(chr, [*range(0x250), 0x2028, 0x3000, 0x65E5, 0x1F642]))
+    given = [every, every[::-1], " ".join(every), None, "", "\t \n.", "ÀÉ. A\tb\x0b\x0cÇ;d\re", "x" * 70_000 + " Y"]
+    docs = spark.createDataFrame([(t, i) for i, t in enumerate(given)], "text string, lang int")
+    found = sorted((r.lang, r.w) for r in piece_words(docs, "text", "lang").collect())
+    lowered = [re.sub("[A-Z]", lambda m: m[0].lower(), t or "") for t in given]
+    assert found == sorted((str(i), [w for w in re.split("[ \t]", piece) if w]) for i, t in enumerate(lowered) for piece in re.split("[.,;:!?\n\x0b\x0c\r]", t))
+    assert piece_words(docs.limit(0), "text", "lang").collect() == []
+    # One pass over bytes instead of a look-up of every character.
+    assert "translate" not in piece_words(docs, "text", "lang")._jdf.queryExecution().toString()
