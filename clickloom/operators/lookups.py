@@ -74,16 +74,17 @@ def salted_join(
     how: str,
     spread: Sequence[str],
     salts: int | None = None,
+    hot: Sequence | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` that splits each hot key of ``facts`` into ``salts`` parts.
 
-    Hot keys are counted first.  The part is a hash of the ``spread`` columns,
+    Hot keys are counted first, unless ``hot`` lists them.  The part is a hash of the ``spread`` columns,
     so it is the same when a lost task runs again.  ``lookup`` must be unique by
     ``key``; only its rows of hot keys are repeated.  Rows with a null key are
     spread too.  Adaptive execution can still split a part that is too large.
     """
     salts = salts or default_salts(facts.sparkSession)
-    hot = hot_keys(facts, key)
+    hot = hot_keys(facts, key) if hot is None else hot
     column = F.col(quoted(key))
     split = column.isNull() | column.isin(hot) if hot else column.isNull()
     part = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in spread]), F.lit(salts)).cast("int")

@@ -124,5 +124,37 @@ def test_components(spark, shape):
     assert len({(roots[n], label[n]) for n in nodes}) == len(set(roots.values())) == len(set(label.values()))
 
 
+def jobs_of(spark, work):
+    spark.sparkContext.setJobGroup(name := f"count-{work}", "")
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_star_takes_few_jobs(spark):
+    """Rounds that halve its leaves, each join with keys counted anew, took 234 jobs: their plans filled the driver's memory."""
+    edges = spark.createDataFrame([(0, i) for i in range(1, 1000)] + [(5000, 5000 + i) for i in range(1, 1000)], "a long, b long")
+    roots, jobs = jobs_of(spark, lambda: {r.node: r.root for r in contract(edges).collect()})
+    assert len(roots) == 2000 and len(set(roots.values())) == 2
+    assert jobs <= 60
+
+
+@pytest.mark.parametrize("kind", ["long", "binary"])
+def test_hubs_are_split(spark, monkeypatch, kind):
+    monkeypatch.setattr("clickloom.llm.components.HOT_LINKS", 1)
+    edges = [(0, i) for i in range(1, 300)] + [(i, 500 + i) for i in range(1, 300)] + [(900, i) for i in range(901, 990)]
+    made = spark.createDataFrame(edges, "a long, b long").select(*(F.col(c).cast("string").cast("binary").alias(c) if kind == "binary" else F.col(c) for c in "ab"))
+    roots = {int(r.node): int(r.root) for r in contract(made).collect()}
+    label = plain_components(edges, {n for e in edges for n in e})
+    assert set(roots) == set(label) and len({(roots[n], label[n]) for n in label}) == len(set(roots.values())) == 2
+
+
+def test_nulls_connect_nothing(spark):
+    found = contract(spark.createDataFrame([(1, None), (None, 2), (None, None), (2, 3)], "a long, b long")).collect()
+    roots = {r.node: r.root for r in found}
+    assert len(found) == 4 and roots[None] is None and roots[1] == 1 and roots[2] == roots[3]
+
+
 def test_no_edges(spark):
     assert contract(spark.createDataFrame([], "a long, b long")).collect() == []
